@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .core import ColumnOrName, col_
-from .normal import norm_ppf
+from .gaussian import norm_ppf
 
 TWO_32 = 4294967296.0
 
