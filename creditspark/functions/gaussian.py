@@ -66,8 +66,8 @@ def _ppf_from_parts(q: Column, r_central: Column, r_tail: Column) -> Column:
     t2 = r_tail - F.lit(5.0)
     tail_mag = (F.when(r_tail <= F.lit(5.0), horner(t1, PPND16_C) / horner(t1, PPND16_D))
                 .otherwise(horner(t2, PPND16_E) / horner(t2, PPND16_F)))
-    tail = F.when(q < 0, -tail_mag).otherwise(tail_mag)
-    return F.when(F.abs(q) <= F.lit(0.425), central).otherwise(tail)
+    sign = F.when(q < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.when(F.abs(q) <= F.lit(0.425), central).otherwise(sign * tail_mag)
 
 
 def _tail_r(p: Column, q: Column) -> Column:
@@ -84,14 +84,31 @@ def norm_ppf(p: ColumnOrName) -> Column:
 
 
 def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf") -> DataFrame:
-    """Staged Φ⁻¹: intermediate columns keep each generated method small."""
-    q, rc, rt = f"{prefix}_q", f"{prefix}_rc", f"{prefix}_rt"
-    df = df.withColumn(q, F.col(p_col) - F.lit(0.5))
+    """Staged Φ⁻¹ for heavy use; NULL for a NULL/NaN p or p outside (0, 1).
+
+    Every intermediate column is referenced more than once by the next step, so
+    Catalyst's CollapseProject keeps the steps apart, and the arithmetic runs on
+    non-nullable values (invalid inputs are masked once at the end), which keeps
+    the generated code small enough for the JIT.
+    """
+    pv, q, rc, rt, t1, t2 = (f"{prefix}_{n}" for n in ("p", "q", "rc", "rt", "t1", "t2"))
+    p_in = F.col(p_col)
+    valid = p_in.isNotNull() & ~F.isnan(p_in) & (p_in > 0) & (p_in < 1)
+    df = df.withColumn(pv, F.when(valid, p_in).otherwise(F.lit(0.5)))
+    df = df.withColumn(q, F.col(pv) - F.lit(0.5))
+    small = F.when(F.col(q) < 0, F.col(pv)).otherwise(F.lit(1.0) - F.col(pv))
     df = df.withColumns({
         rc: F.lit(0.180625) - F.col(q) * F.col(q),
-        rt: _tail_r(F.col(p_col), F.col(q)),
+        rt: F.coalesce(F.sqrt(-F.ln(small)), F.lit(0.0)),
     })
-    return df.withColumn(out_col, _ppf_from_parts(F.col(q), F.col(rc), F.col(rt))).drop(q, rc, rt)
+    df = df.withColumns({t1: F.col(rt) - F.lit(1.6), t2: F.col(rt) - F.lit(5.0)})
+    central = F.col(q) * horner(F.col(rc), PPND16_A) / horner(F.col(rc), PPND16_B)
+    tail_mag = (F.when(F.col(rt) <= F.lit(5.0), horner(F.col(t1), PPND16_C) / horner(F.col(t1), PPND16_D))
+                .otherwise(horner(F.col(t2), PPND16_E) / horner(F.col(t2), PPND16_F)))
+    # sign as a factor so each polynomial appears once in the generated code
+    sign = F.when(F.col(q) < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    core = F.when(F.abs(F.col(q)) <= F.lit(0.425), central).otherwise(sign * tail_mag)
+    return df.withColumn(out_col, F.when(valid, core)).drop(pv, q, rc, rt, t1, t2)
 
 
 def _horner_high_first(x: Column, coefs: Sequence[float]) -> Column:
@@ -115,3 +132,23 @@ def norm_cdf(x: ColumnOrName) -> Column:
              .when(a < F.lit(CDF_SPLIT), near)
              .otherwise(far))
     return F.when(xc > 0, F.lit(1.0) - lower).otherwise(lower)
+
+
+def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf") -> DataFrame:
+    """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL."""
+    xv, a, e, lo = (f"{prefix}_{n}" for n in ("x", "a", "e", "lower"))
+    x_in = F.col(x_col)
+    df = df.withColumn(xv, F.coalesce(x_in, F.lit(0.0)))
+    df = df.withColumn(a, F.abs(F.col(xv)))
+    df = df.withColumn(e, F.exp(-(F.col(a) * F.col(a)) / F.lit(2.0)))
+    ac = F.col(a)
+    near = F.col(e) * _horner_high_first(ac, CDF_NUM) / _horner_high_first(ac, CDF_DEN)
+    cf = ac + F.lit(0.65)
+    for k in (4.0, 3.0, 2.0, 1.0):
+        cf = ac + F.lit(k) / cf
+    far = F.col(e) / cf / F.lit(SQRT_2PI)
+    df = df.withColumn(lo, F.when(ac > F.lit(CDF_CUTOFF), F.lit(0.0))
+                       .when(ac < F.lit(CDF_SPLIT), near)
+                       .otherwise(far))
+    out = F.when(F.col(xv) > 0, F.lit(1.0) - F.col(lo)).otherwise(F.col(lo))
+    return df.withColumn(out_col, F.when(x_in.isNotNull(), out)).drop(xv, a, e, lo)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import require_columns, uniform
-from .ordered import prefix_sums
+from .ordered import checkpointed, prefix_sums
 
 # ---- fixed values: back-test feature list (no loan_amount) and settings ----
 FEATURES = ("age", "annual_income", "credit_score", "employment_years", "dti_ratio", "utilization_ratio",
@@ -41,7 +41,7 @@ def auc(df: DataFrame, score_col: str, label_col: str, *, buckets: int | None =
               .select(F.lit("auc").alias("g"), F.col(score_col).cast("double").alias("s"),
                       F.col(label_col).cast("long").alias("y"))
               .groupBy("g", "s").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
-    ps = prefix_sums(counts, "g", "s", ["neg"], buckets)
+    ps = prefix_sums(checkpointed(counts), "g", "s", ["neg"], buckets)
     return ps.agg(
         (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
          / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import Z_999, clip, norm_cdf, require_columns, with_norm_ppf
+from ..functions import Z_999, clip, require_columns, with_norm_cdf, with_norm_ppf
 from .joins import band_join
 from .risk import effective_maturity
 
@@ -107,23 +107,39 @@ def basel_irb(df: DataFrame, *, maturity_col: str = "effective_maturity_years",
     if maturity_col == "effective_maturity_years":
         df = effective_maturity(df)
     require_columns(df, maturity_col)
-    p, rho, b = "_irb_pd", "_irb_rho", "_irb_b"
-    df = df.withColumns({p: clip(F.col(pd_col), *IRB_PD_BOUNDS), "_irb_lgd": clip(F.col(lgd_col), *IRB_LGD_BOUNDS)})
-    b_expr = F.lit(B_A) - F.lit(B_B) * F.ln(F.col(p))
+    p, rho, b, ok = "_irb_pd", "_irb_rho", "_irb_b", "_irb_ok"
+    pd_in, lgd_in, m_in = F.col(pd_col), F.col(lgd_col), F.col(maturity_col)
+    valid = (pd_in.isNotNull() & ~F.isnan(pd_in) & lgd_in.isNotNull() & ~F.isnan(lgd_in)
+             & m_in.isNotNull() & ~F.isnan(m_in.cast("double")))
+    # the core runs on non-nullable values (smaller generated code); invalid rows are masked at the end
+    df = df.withColumns({
+        ok: valid,
+        p: F.least(F.greatest(F.coalesce(pd_in, F.lit(0.5)), F.lit(IRB_PD_BOUNDS[0])), F.lit(IRB_PD_BOUNDS[1])),
+        "_irb_lgd": F.least(F.greatest(F.coalesce(lgd_in, F.lit(0.5)), F.lit(IRB_LGD_BOUNDS[0])),
+                            F.lit(IRB_LGD_BOUNDS[1])),
+        "_irb_m": F.coalesce(m_in.cast("double"), F.lit(M_CENTER)),
+    })
+    b_expr = F.lit(B_A) - F.lit(B_B) * F.coalesce(F.ln(F.col(p)), F.lit(0.0))
     if maturity_form == "squared":
         b_expr = b_expr * b_expr
     elif maturity_form != "reference":
         raise ValueError("maturity_form must be 'reference' or 'squared'")
-    df = df.withColumns({rho: irb_correlation(F.col(p)), b: b_expr})
+    w = (F.lit(1.0) - F.exp(F.lit(-R_DECAY) * F.col(p))) / F.lit(1.0 - math.exp(-R_DECAY))
+    df = df.withColumn("_irb_w", w)
+    df = df.withColumns({rho: F.lit(R_LOW) * F.col("_irb_w") + F.lit(R_HIGH) * (F.lit(1.0) - F.col("_irb_w")),
+                         b: b_expr})
     df = with_norm_ppf(df, p, "_irb_zpd")
-    x = (F.col("_irb_zpd") + F.sqrt(F.col(rho)) * F.lit(Z_999)) / F.sqrt(F.lit(1.0) - F.col(rho))
+    zpd = F.coalesce(F.col("_irb_zpd"), F.lit(0.0))
+    x = (zpd + F.coalesce(F.sqrt(F.col(rho)), F.lit(0.0)) * F.lit(Z_999)) / \
+        F.coalesce(F.sqrt(F.lit(1.0) - F.col(rho)), F.lit(1.0))
     df = df.withColumn("_irb_x", x)
-    adj = (F.lit(1.0) + (F.col(maturity_col) - F.lit(M_CENTER)) * F.col(b)) / (F.lit(1.0) - F.lit(M_SLOPE) * F.col(b))
-    k = (F.col("_irb_lgd") * norm_cdf(F.col("_irb_x")) - F.col("_irb_lgd") * F.col(p)) * adj
-    df = df.withColumn("irb_cap_ratio_per_ead", k)
+    df = with_norm_cdf(df, "_irb_x", "_irb_phi")
+    adj = (F.lit(1.0) + (F.col("_irb_m") - F.lit(M_CENTER)) * F.col(b)) / (F.lit(1.0) - F.lit(M_SLOPE) * F.col(b))
+    k = (F.col("_irb_lgd") * F.coalesce(F.col("_irb_phi"), F.lit(0.0)) - F.col("_irb_lgd") * F.col(p)) * adj
+    df = df.withColumn("irb_cap_ratio_per_ead", F.when(F.col(ok), k))
     df = df.withColumn("rwa_irb", F.lit(RWA_SCALE) * F.col("irb_cap_ratio_per_ead") * F.col(ead_col))
     df = df.withColumn("capital_required_irb", F.col("rwa_irb") * F.lit(cap_ratio))
-    return df.drop(p, rho, b, "_irb_lgd", "_irb_zpd", "_irb_x")
+    return df.drop(p, rho, b, ok, "_irb_w", "_irb_lgd", "_irb_m", "_irb_zpd", "_irb_x", "_irb_phi")
 
 
 def irb_totals(df: DataFrame) -> DataFrame:

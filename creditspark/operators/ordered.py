@@ -6,20 +6,21 @@ key would pull the whole column into one task. Instead:
 
 1. collapse rows to one row per distinct (group, value) with counts — a hash
    aggregate with map-side combine, so a value repeated on a third of all rows
-   becomes one row per map task, never a hot partition;
-2. cut each group's value range into ``buckets`` by approximate percentiles of
-   the distinct values (a small, bounded array per group);
+   becomes one row per map task, never a hot partition. This table is
+   checkpointed (reliable storage under ``spark.checkpoint.dir``), so the
+   expensive upstream runs once and a lost executor does not re-run it;
+2. cut each group's value range into ``buckets`` at approximate percentiles of
+   its distinct values (a small array per group, brought to the driver), and
+   assign buckets with ``Bucketizer`` (binary search, JVM side);
 3. prefix-sum inside each bucket with a window partitioned by (group, bucket),
    and add each bucket's offset from a bucket-totals table of at most
-   groups × buckets rows (broadcast: its bound is a parameter).
-
-The distinct-value table is checkpointed to the session's checkpoint folder so
-the boundary pass and the prefix pass read it once, and a lost executor does not
-force the upstream join to run again.
+   groups × buckets rows (broadcast: that bound is a parameter).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,41 +37,55 @@ def value_counts(df: DataFrame, group_col: str, value_col: str, sums: dict | Non
     """One row per distinct (group, value): ``n`` rows plus optional summed columns."""
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.sum(c).alias(name) for name, c in (sums or {}).items()]
-    return df.where(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(*aggs)
+    return df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col))) \
+        .groupBy(group_col, value_col).agg(*aggs)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the session's checkpoint folder and cut its lineage."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def prefix_sums(vc: DataFrame, group_col: str, value_col: str, sum_cols: list[str],
-                buckets: int | None = None, accuracy: int = 10_000) -> DataFrame:
-    """Add ``<c>_before`` = Σ c over rows of the same group with a smaller value.
+def _bucketed(vc: DataFrame, group_col: str, value_col: str, b: int, accuracy: int) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
 
-    ``vc`` must have one row per (group, value) (see :func:`value_counts`).
-    """
-    b = _num_buckets(vc, buckets)
     probs = [k / b for k in range(1, b)]
+    groups = [r[0] for r in vc.select(group_col).distinct().collect()]
+    bounds: dict = {}
     if probs:
-        rows = vc.groupBy(group_col).agg(
-            F.percentile_approx(value_col, probs, accuracy).alias("_bnd")).collect()
+        rows = vc.groupBy(group_col).agg(F.percentile_approx(value_col, probs, accuracy).alias("_bnd")).collect()
         bounds = {r[group_col]: sorted({float(x) for x in (r["_bnd"] or [])}) for r in rows}
-    else:
-        bounds = {}
-    # bucket = number of boundaries <= value, from a per-group literal array
-    bucket = F.lit(0)
-    for g, bl in bounds.items():
+    parts = []
+    for g in groups:
+        sub = vc.where(F.col(group_col) == F.lit(g))
+        bl = bounds.get(g) or []
         if bl:
-            arr = F.array(*[F.lit(x) for x in bl])
-            bucket = F.when(F.col(group_col) == F.lit(g),
-                            F.size(F.filter(arr, lambda x: x <= F.col(value_col)))).otherwise(bucket)
-    vb = vc.withColumn("_bucket", bucket)
+            splits = [float("-inf")] + bl + [float("inf")]
+            sub = Bucketizer(splits=splits, inputCol=value_col, outputCol="_bucket",
+                             handleInvalid="keep").transform(sub)
+            sub = sub.withColumn("_bucket", F.col("_bucket").cast("int"))
+        else:
+            sub = sub.withColumn("_bucket", F.lit(0))
+        parts.append(sub)
+    if not parts:
+        return vc.withColumn("_bucket", F.lit(0))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def prefix_sums(vc: DataFrame, group_col: str, value_col: str, sum_cols: list[str],
+                buckets: int | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Add ``<c>_before`` = Σ c over rows of the same group with a smaller value.
+
+    ``vc`` must have one row per (group, value) (see :func:`value_counts`) and
+    should be cheap to read twice (checkpointed).
+    """
+    vb = _bucketed(vc, group_col, value_col, _num_buckets(vc, buckets), accuracy)
     w = (Window.partitionBy(group_col, "_bucket").orderBy(value_col)
          .rowsBetween(Window.unboundedPreceding, -1))
     within = vb.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
-    totals = within.groupBy(group_col, "_bucket").agg(*[F.sum(c).alias(f"_{c}_tot") for c in sum_cols])
+    totals = vb.groupBy(group_col, "_bucket").agg(*[F.sum(c).alias(f"_{c}_tot") for c in sum_cols])
     wo = (Window.partitionBy(group_col).orderBy("_bucket")
           .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(group_col, "_bucket", *[
@@ -80,27 +95,23 @@ def prefix_sums(vc: DataFrame, group_col: str, value_col: str, sum_cols: list[st
     return out.drop("_bucket", *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols])
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), *,
-                    buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """Linear-interpolated quantiles (pandas/NumPy "linear", DuckDB ``quantile_cont``).
-
-    Returns ``variable, prob, value``; NULLs are ignored.
-    """
-    long = df.select(F.explode(F.array(*[
+def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``variable, v`` rows (one per input row and column), values as double."""
+    return df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in cols
     ])).alias("kv")).select("kv.*")
-    vc = value_counts(long, "variable", "v")
-    if checkpoint:
-        vc = checkpointed(vc)
+
+
+def quantiles_from_counts(vc: DataFrame, probs=(0.25, 0.5, 0.75), *, buckets: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles from a (variable, v, n) value-count table."""
     ps = prefix_sums(vc, "variable", "v", ["n"], buckets)
     totals = vc.groupBy("variable").agg(F.sum("n").alias("_N"))
-    # target ranks (0-based): floor and ceil of prob·(N−1) for every prob
     tgt = totals.select("variable", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "_N")
     tgt = tgt.withColumn("_pos", F.col("prob") * (F.col("_N") - F.lit(1)))
-    tgt = tgt.withColumns({"_k_lo": F.floor("_pos"), "_k_hi": F.ceil("_pos")})
-    ranks = tgt.select("variable", "prob", "_pos", F.explode(F.array("_k_lo", "_k_hi")).alias("_k"))
-    # a value covers ranks [n_before, n_before + n); equi-join on variable, then range filter
-    hit = ps.join(F.broadcast(ranks.distinct()), "variable").where(
+    ranks = tgt.select("variable", "prob", "_pos",
+                       F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_k"))
+    # a value covers ranks [n_before, n_before + n): equi-join on variable, then a range filter
+    hit = ps.join(F.broadcast(ranks), "variable").where(
         (F.col("_k") >= F.col("n_before")) & (F.col("_k") < F.col("n_before") + F.col("n")))
     kv = hit.groupBy("variable", "prob", "_pos").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("_k"), F.col("v")))).alias("_at"))
@@ -108,3 +119,24 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), *,
     hi = F.element_at("_at", F.ceil("_pos"))
     frac = F.col("_pos") - F.floor("_pos")
     return kv.select("variable", "prob", (lo + (hi - lo) * frac).alias("value"))
+
+
+def moments_from_counts(vc: DataFrame) -> DataFrame:
+    """count, mean, sample std (two-pass: mean first, then Σn(v−mean)²), min, max per variable."""
+    first = vc.groupBy("variable").agg(
+        F.sum("n").alias("_N"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    m2 = vc.join(F.broadcast(first.select("variable", "mean")), "variable") \
+        .groupBy("variable").agg(F.sum(F.col("n") * (F.col("v") - F.col("mean")) ** 2).alias("_m2"))
+    return first.join(m2, "variable").select(
+        "variable", F.col("_N").cast("double").alias("count"), "mean",
+        F.when(F.col("_N") > 1, F.sqrt(F.col("_m2") / (F.col("_N") - F.lit(1)))).alias("std"), "min", "max")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), *,
+                    buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
+    """Linear-interpolated quantiles (NumPy "linear", DuckDB ``quantile_cont``); NULL/NaN ignored."""
+    vc = value_counts(long_values(df, cols), "variable", "v")
+    if checkpoint:
+        vc = checkpointed(vc)
+    return quantiles_from_counts(vc, probs, buckets=buckets)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import require_columns
-from .ordered import exact_quantiles
+from .ordered import checkpointed, long_values, moments_from_counts, quantiles_from_counts, value_counts
 
 # ---- fixed values: KPI labels ----
 KPI_LABELS = ("Number of loans", "Portfolio EAD", "Portfolio 12m ECL", "Portfolio Lifetime ECL",
@@ -121,26 +121,28 @@ def stress_totals(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str], *, probs=(0.25, 0.5, 0.75), approx_accuracy: int | None = None,
              buckets: int | None = None) -> DataFrame:
-    """A11 — count, mean, std (n−1), min, quartiles (linear), max per column.
+    """A11 — count, mean, std (n−1), min, quartiles (linear), max per column; NULL/NaN ignored.
 
     Output rows: ``variable, count, mean, std, min, p25, p50, p75, max``.
-    Quartiles are exact by default (see ``ordered.exact_quantiles``); pass
-    ``approx_accuracy`` to use ``percentile_approx`` instead.
+    Exact by default: the loans are reduced once to a checkpointed
+    (variable, value, count) table, and moments and quartiles are read from it
+    (see ``ordered``). ``approx_accuracy`` switches to one streaming pass with
+    ``percentile_approx`` instead (bounded memory, no checkpoint).
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("kv")).select("kv.*")
-    moments = long.groupBy("variable").agg(
-        F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
     names = {p: f"p{int(round(p * 100))}" for p in probs}
     if approx_accuracy:
-        q = long.groupBy("variable").agg(F.percentile_approx("v", list(probs), approx_accuracy).alias("_q"))
-        q = q.select("variable", *[F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)])
-    else:
-        ql = exact_quantiles(df, cols, probs, buckets=buckets)
-        q = ql.groupBy("variable").agg(*[
-            F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(names[p]) for p in probs])
+        long = long_values(df, cols).where(F.col("v").isNotNull() & ~F.isnan("v"))
+        out = long.groupBy("variable").agg(
+            F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
+            F.percentile_approx("v", list(probs), approx_accuracy).alias("_q"))
+        return out.select("variable", "count", "mean", "std", "min",
+                          *[F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)], "max")
+    vc = checkpointed(value_counts(long_values(df, cols), "variable", "v"))
+    moments = moments_from_counts(vc)
+    ql = quantiles_from_counts(vc, probs, buckets=buckets)
+    q = ql.groupBy("variable").agg(*[
+        F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(names[p]) for p in probs])
     return moments.join(q, "variable", "left").select(
         "variable", "count", "mean", "std", "min", *[names[p] for p in probs], "max")
 

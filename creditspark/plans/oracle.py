@@ -33,8 +33,9 @@ def clip(x: str, lo=None, hi=None) -> str:
 
 
 def U(salt, key: str = "loan_id") -> str:
-    h = f"md5(CAST({key} AS VARCHAR) || ':{salt}')"
-    return f"(CAST(CAST(('0x' || substr({h}, 1, 8)) AS BIGINT) AS DOUBLE) / {d(4294967296.0)})"
+    group, part = (salt // 4, salt % 4) if isinstance(salt, int) else (salt, 0)
+    h = f"md5(CAST({key} AS VARCHAR) || ':{group}')"
+    return f"(CAST(CAST(('0x' || substr({h}, {1 + 8 * part}, 8)) AS BIGINT) AS DOUBLE) / {d(4294967296.0)})"
 
 
 def sigmoid(z: str) -> str:
@@ -80,7 +81,8 @@ def ppf_sql(p: str) -> str:
     t1, t2 = f"({rt} - {d(1.6)})", f"({rt} - {d(5.0)})"
     mag = (f"(CASE WHEN {rt} <= {d(5.0)} THEN {horner_low(t1, N.PPND16_C)} / {horner_low(t1, N.PPND16_D)} "
            f"ELSE {horner_low(t2, N.PPND16_E)} / {horner_low(t2, N.PPND16_F)} END)")
-    return f"(CASE WHEN abs({q}) <= {d(0.425)} THEN {central} ELSE (CASE WHEN {q} < 0 THEN -{mag} ELSE {mag} END) END)"
+    return (f"(CASE WHEN abs({q}) <= {d(0.425)} THEN {central} "
+            f"ELSE (CASE WHEN {q} < 0 THEN {d(-1.0)} ELSE {d(1.0)} END) * {mag} END)")
 
 
 def cdf_sql(x: str) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import norm_cdf, norm_ppf
+from ..functions import with_norm_cdf, with_norm_ppf
 from ..operators import backtest, capital, catalog, reports, risk
 from ..sources.sinks import final_table
 from ..sources.specs import read_mapping_spec
@@ -290,8 +290,8 @@ def _basel_std_totals(b: Book):
 @query("norm_functions")
 def _norm_functions(b: Book):
     """B4, B5 — Φ⁻¹ of each loan's PD and Φ of that (round trip)."""
-    df = b.part_b().select("loan_id", "pd_12m").withColumn("z_pd", norm_ppf("pd_12m"))
-    return df.withColumn("cdf_z", norm_cdf("z_pd"))
+    df = with_norm_ppf(b.part_b().select("loan_id", "pd_12m"), "pd_12m", "z_pd")
+    return with_norm_cdf(df, "z_pd", "cdf_z")
 
 
 @query("irb_correlation")

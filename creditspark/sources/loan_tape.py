@@ -151,9 +151,25 @@ def with_draws(tape: DataFrame, part: str = "B") -> DataFrame:
     return tape.withColumns(cols)
 
 
+def with_parallelism_floor(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that has fewer partitions than the cluster has cores.
+
+    The loan-grain stage is CPU-bound (keyed draws, scorecards, normal
+    functions). A large table arrives in thousands of splits and this is a
+    no-op; a small file written as one row group would otherwise run the whole
+    stage in a single task.
+    """
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave the plan alone
+        return df
+    return df.repartition(want, key) if have < want else df
+
+
 def read_loan_tape(spark: SparkSession, sf_dir: str, calendar: BookCalendar | None = None,
                    **kw) -> tuple[DataFrame, BookCalendar]:
-    orders = read_table(spark, sf_dir, "orders", ORDER_COLS)
+    orders = with_parallelism_floor(read_table(spark, sf_dir, "orders", ORDER_COLS), "o_orderkey")
     customer = read_table(spark, sf_dir, "customer", CUSTOMER_COLS)
-    cal = calendar or book_calendar(orders)
+    cal = calendar or book_calendar(read_table(spark, sf_dir, "orders", ["o_orderdate"]))
     return loan_tape(orders, customer, cal, **kw), cal
