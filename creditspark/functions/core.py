@@ -6,6 +6,7 @@ so it stays inside whole-stage codegen; nothing runs in Python per row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -111,3 +112,15 @@ def require_columns(df, *names: str) -> None:
 def round_half_even(c: ColumnOrName, scale: int) -> Column:
     """pandas ``.round`` is half-to-even; use at the presentation edge only."""
     return F.bround(col_(c), scale)
+
+
+def pushdown_barrier(df, tag: str):
+    """Stop later filters from being pushed into a chain of staged projections.
+
+    Staged intermediates (see ``functions.gaussian``) are referenced many times
+    each; pushing a filter through them would inline every alias at every level
+    and multiply the predicate's size until the optimizer overflows. A
+    ``CollectMetrics`` node (``observe``, here a row count) is not something
+    predicates are pushed through, so the filter stays above it.
+    """
+    return df.observe(f"{tag}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .core import ColumnOrName, col_
+from .core import ColumnOrName, col_, pushdown_barrier
 
 # ---- fixed values: AS 241 (PPND16) coefficients, lowest order first ----------
 PPND16_A = [3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3,
@@ -83,7 +83,7 @@ def norm_ppf(p: ColumnOrName) -> Column:
     return _ppf_from_parts(q, r_central, _tail_r(pc, q))
 
 
-def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf") -> DataFrame:
+def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf", barrier: bool = True) -> DataFrame:
     """Staged Φ⁻¹ for heavy use; NULL for a NULL/NaN p or p outside (0, 1).
 
     Every intermediate column is referenced more than once by the next step, so
@@ -108,7 +108,8 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf")
     # sign as a factor so each polynomial appears once in the generated code
     sign = F.when(F.col(q) < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     core = F.when(F.abs(F.col(q)) <= F.lit(0.425), central).otherwise(sign * tail_mag)
-    return df.withColumn(out_col, F.when(valid, core)).drop(pv, q, rc, rt, t1, t2)
+    df = df.withColumn(out_col, F.when(valid, core)).drop(pv, q, rc, rt, t1, t2)
+    return pushdown_barrier(df, "norm_ppf") if barrier else df
 
 
 def _horner_high_first(x: Column, coefs: Sequence[float]) -> Column:
@@ -134,7 +135,7 @@ def norm_cdf(x: ColumnOrName) -> Column:
     return F.when(xc > 0, F.lit(1.0) - lower).otherwise(lower)
 
 
-def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf") -> DataFrame:
+def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf", barrier: bool = True) -> DataFrame:
     """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL."""
     xv, a, e, lo = (f"{prefix}_{n}" for n in ("x", "a", "e", "lower"))
     x_in = F.col(x_col)
@@ -151,4 +152,5 @@ def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf")
                        .when(ac < F.lit(CDF_SPLIT), near)
                        .otherwise(far))
     out = F.when(F.col(xv) > 0, F.lit(1.0) - F.col(lo)).otherwise(F.col(lo))
-    return df.withColumn(out_col, F.when(x_in.isNotNull(), out)).drop(xv, a, e, lo)
+    df = df.withColumn(out_col, F.when(x_in.isNotNull(), out)).drop(xv, a, e, lo)
+    return pushdown_barrier(df, "norm_cdf") if barrier else df

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import Z_999, clip, require_columns, with_norm_cdf, with_norm_ppf
+from ..functions.core import pushdown_barrier
 from .joins import band_join
 from .risk import effective_maturity
 
@@ -128,18 +129,19 @@ def basel_irb(df: DataFrame, *, maturity_col: str = "effective_maturity_years",
     df = df.withColumn("_irb_w", w)
     df = df.withColumns({rho: F.lit(R_LOW) * F.col("_irb_w") + F.lit(R_HIGH) * (F.lit(1.0) - F.col("_irb_w")),
                          b: b_expr})
-    df = with_norm_ppf(df, p, "_irb_zpd")
+    df = with_norm_ppf(df, p, "_irb_zpd", barrier=False)
     zpd = F.coalesce(F.col("_irb_zpd"), F.lit(0.0))
     x = (zpd + F.coalesce(F.sqrt(F.col(rho)), F.lit(0.0)) * F.lit(Z_999)) / \
         F.coalesce(F.sqrt(F.lit(1.0) - F.col(rho)), F.lit(1.0))
     df = df.withColumn("_irb_x", x)
-    df = with_norm_cdf(df, "_irb_x", "_irb_phi")
+    df = with_norm_cdf(df, "_irb_x", "_irb_phi", barrier=False)
     adj = (F.lit(1.0) + (F.col("_irb_m") - F.lit(M_CENTER)) * F.col(b)) / (F.lit(1.0) - F.lit(M_SLOPE) * F.col(b))
     k = (F.col("_irb_lgd") * F.coalesce(F.col("_irb_phi"), F.lit(0.0)) - F.col("_irb_lgd") * F.col(p)) * adj
     df = df.withColumn("irb_cap_ratio_per_ead", F.when(F.col(ok), k))
     df = df.withColumn("rwa_irb", F.lit(RWA_SCALE) * F.col("irb_cap_ratio_per_ead") * F.col(ead_col))
     df = df.withColumn("capital_required_irb", F.col("rwa_irb") * F.lit(cap_ratio))
-    return df.drop(p, rho, b, ok, "_irb_w", "_irb_lgd", "_irb_m", "_irb_zpd", "_irb_x", "_irb_phi")
+    df = df.drop(p, rho, b, ok, "_irb_w", "_irb_lgd", "_irb_m", "_irb_zpd", "_irb_x", "_irb_phi")
+    return pushdown_barrier(df, "basel_irb")
 
 
 def irb_totals(df: DataFrame) -> DataFrame:

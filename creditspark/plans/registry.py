@@ -290,7 +290,7 @@ def _basel_std_totals(b: Book):
 @query("norm_functions")
 def _norm_functions(b: Book):
     """B4, B5 — Φ⁻¹ of each loan's PD and Φ of that (round trip)."""
-    df = with_norm_ppf(b.part_b().select("loan_id", "pd_12m"), "pd_12m", "z_pd")
+    df = with_norm_ppf(b.part_b().select("loan_id", "pd_12m"), "pd_12m", "z_pd", barrier=False)
     return with_norm_cdf(df, "z_pd", "cdf_z")
 
 
