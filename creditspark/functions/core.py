@@ -124,3 +124,8 @@ def pushdown_barrier(df, tag: str):
     predicates are pushed through, so the filter stays above it.
     """
     return df.observe(f"{tag}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
+
+
+def with_exprs(df, exprs: Mapping[str, str]):
+    """Add or replace columns from Spark SQL expression text (one JVM call per column)."""
+    return df.withColumns({name: F.expr(text) for name, text in exprs.items()})

@@ -89,26 +89,29 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     Every intermediate column is referenced more than once by the next step, so
     Catalyst's CollapseProject keeps the steps apart, and the arithmetic runs on
     non-nullable values (invalid inputs are masked once at the end), which keeps
-    the generated code small enough for the JIT.
+    the generated code small enough for the JIT. ``barrier`` stops later filters
+    from being pushed into the staged steps (see ``core.pushdown_barrier``).
     """
+    from . import sqltext as X
+    from .core import with_exprs
+
     pv, q, rc, rt, t1, t2 = (f"{prefix}_{n}" for n in ("p", "q", "rc", "rt", "t1", "t2"))
-    p_in = F.col(p_col)
-    valid = p_in.isNotNull() & ~F.isnan(p_in) & (p_in > 0) & (p_in < 1)
-    df = df.withColumn(pv, F.when(valid, p_in).otherwise(F.lit(0.5)))
-    df = df.withColumn(q, F.col(pv) - F.lit(0.5))
-    small = F.when(F.col(q) < 0, F.col(pv)).otherwise(F.lit(1.0) - F.col(pv))
-    df = df.withColumns({
-        rc: F.lit(0.180625) - F.col(q) * F.col(q),
-        rt: F.coalesce(F.sqrt(-F.ln(small)), F.lit(0.0)),
+    p = X.ident(p_col)
+    valid = f"({p} IS NOT NULL AND NOT isnan({p}) AND {p} > 0 AND {p} < 1)"
+    df = with_exprs(df, {pv: f"CASE WHEN {valid} THEN {p} ELSE {X.num(0.5)} END"})
+    df = with_exprs(df, {q: f"{pv} - {X.num(0.5)}"})
+    df = with_exprs(df, {
+        rc: f"{X.num(0.180625)} - {q} * {q}",
+        rt: f"coalesce(sqrt(-ln(CASE WHEN {q} < 0 THEN {pv} ELSE {X.num(1.0)} - {pv} END)), {X.num(0.0)})",
     })
-    df = df.withColumns({t1: F.col(rt) - F.lit(1.6), t2: F.col(rt) - F.lit(5.0)})
-    central = F.col(q) * horner(F.col(rc), PPND16_A) / horner(F.col(rc), PPND16_B)
-    tail_mag = (F.when(F.col(rt) <= F.lit(5.0), horner(F.col(t1), PPND16_C) / horner(F.col(t1), PPND16_D))
-                .otherwise(horner(F.col(t2), PPND16_E) / horner(F.col(t2), PPND16_F)))
-    # sign as a factor so each polynomial appears once in the generated code
-    sign = F.when(F.col(q) < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    core = F.when(F.abs(F.col(q)) <= F.lit(0.425), central).otherwise(sign * tail_mag)
-    df = df.withColumn(out_col, F.when(valid, core)).drop(pv, q, rc, rt, t1, t2)
+    df = with_exprs(df, {t1: f"{rt} - {X.num(1.6)}", t2: f"{rt} - {X.num(5.0)}"})
+    central = f"{q} * {X.horner_low(rc, PPND16_A)} / {X.horner_low(rc, PPND16_B)}"
+    tail_mag = (f"(CASE WHEN {rt} <= {X.num(5.0)} THEN {X.horner_low(t1, PPND16_C)} / {X.horner_low(t1, PPND16_D)} "
+                f"ELSE {X.horner_low(t2, PPND16_E)} / {X.horner_low(t2, PPND16_F)} END)")
+    # the sign as a factor, so each polynomial appears once in the generated code
+    sign = f"(CASE WHEN {q} < 0 THEN {X.num(-1.0)} ELSE {X.num(1.0)} END)"
+    core = f"(CASE WHEN abs({q}) <= {X.num(0.425)} THEN {central} ELSE {sign} * {tail_mag} END)"
+    df = with_exprs(df, {out_col: f"CASE WHEN {valid} THEN {core} END"}).drop(pv, q, rc, rt, t1, t2)
     return pushdown_barrier(df, "norm_ppf") if barrier else df
 
 
@@ -137,20 +140,21 @@ def norm_cdf(x: ColumnOrName) -> Column:
 
 def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf", barrier: bool = True) -> DataFrame:
     """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL."""
+    from . import sqltext as X
+    from .core import with_exprs
+
     xv, a, e, lo = (f"{prefix}_{n}" for n in ("x", "a", "e", "lower"))
-    x_in = F.col(x_col)
-    df = df.withColumn(xv, F.coalesce(x_in, F.lit(0.0)))
-    df = df.withColumn(a, F.abs(F.col(xv)))
-    df = df.withColumn(e, F.exp(-(F.col(a) * F.col(a)) / F.lit(2.0)))
-    ac = F.col(a)
-    near = F.col(e) * _horner_high_first(ac, CDF_NUM) / _horner_high_first(ac, CDF_DEN)
-    cf = ac + F.lit(0.65)
+    x = X.ident(x_col)
+    df = with_exprs(df, {xv: f"coalesce({x}, {X.num(0.0)})"})
+    df = with_exprs(df, {a: f"abs({xv})"})
+    df = with_exprs(df, {e: f"exp(-({a} * {a}) / {X.num(2.0)})"})
+    near = f"{e} * {X.horner_high(a, CDF_NUM)} / {X.horner_high(a, CDF_DEN)}"
+    cf = f"({a} + {X.num(0.65)})"
     for k in (4.0, 3.0, 2.0, 1.0):
-        cf = ac + F.lit(k) / cf
-    far = F.col(e) / cf / F.lit(SQRT_2PI)
-    df = df.withColumn(lo, F.when(ac > F.lit(CDF_CUTOFF), F.lit(0.0))
-                       .when(ac < F.lit(CDF_SPLIT), near)
-                       .otherwise(far))
-    out = F.when(F.col(xv) > 0, F.lit(1.0) - F.col(lo)).otherwise(F.col(lo))
-    df = df.withColumn(out_col, F.when(x_in.isNotNull(), out)).drop(xv, a, e, lo)
+        cf = f"({a} + {X.num(k)} / {cf})"
+    far = f"{e} / {cf} / {X.num(SQRT_2PI)}"
+    df = with_exprs(df, {lo: f"(CASE WHEN {a} > {X.num(CDF_CUTOFF)} THEN {X.num(0.0)} "
+                            f"WHEN {a} < {X.num(CDF_SPLIT)} THEN {near} ELSE {far} END)"})
+    out = f"CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE) WHEN {xv} > 0 THEN {X.num(1.0)} - {lo} ELSE {lo} END"
+    df = with_exprs(df, {out_col: out}).drop(xv, a, e, lo)
     return pushdown_barrier(df, "norm_cdf") if barrier else df

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import Z_999, clip, require_columns, with_norm_cdf, with_norm_ppf
-from ..functions.core import pushdown_barrier
+from ..functions import sqltext as X
+from ..functions.core import pushdown_barrier, with_exprs
 from .joins import band_join
 from .risk import effective_maturity
 
@@ -29,32 +30,35 @@ M_CENTER, M_SLOPE = 2.5, 1.5
 RWA_SCALE = 12.5
 
 
-def grade_column(pd_col: str = "pd_12m") -> F.Column:
+def grade_sql(pd_col: str = "pd_12m") -> str:
     """B1 — grade from PD only (LGD is read by the reference but not used); NULL PD → CCC."""
-    p = F.col(pd_col)
-    out = None
-    for name, upper, _ in GRADES[:-1]:
-        cond = p < F.lit(upper)
-        out = F.when(cond, F.lit(name)) if out is None else out.when(cond, F.lit(name))
-    return out.otherwise(F.lit(GRADES[-1][0]))
+    p = X.ident(pd_col)
+    whens = " ".join(f"WHEN {p} < {X.num(upper)} THEN '{name}'" for name, upper, _ in GRADES[:-1])
+    return f"(CASE {whens} ELSE '{GRADES[-1][0]}' END)"
 
 
-def risk_weight_column(grade_col: str = "basel_grade") -> F.Column:
+def risk_weight_sql(grade_col: str = "basel_grade") -> str:
     """B2 — risk weight per grade."""
-    g = F.col(grade_col)
-    out = None
-    for name, _, rw in GRADES[:-1]:
-        out = F.when(g == F.lit(name), F.lit(rw)) if out is None else out.when(g == F.lit(name), F.lit(rw))
-    return out.otherwise(F.lit(GRADES[-1][2]))
+    g = X.ident(grade_col)
+    whens = " ".join(f"WHEN {g} = '{name}' THEN {X.num(rw)}" for name, _, rw in GRADES[:-1])
+    return f"(CASE {whens} ELSE {X.num(GRADES[-1][2])} END)"
+
+
+def grade_column(pd_col: str = "pd_12m") -> F.Column:
+    return F.expr(grade_sql(pd_col))
+
+
+def risk_weight_column(grade_col: str = "basel_grade") -> F.Column:
+    return F.expr(risk_weight_sql(grade_col))
 
 
 def basel_standardised(df: DataFrame, *, capital_ratio: float = CAPITAL_RATIO, pd_col: str = "pd_12m") -> DataFrame:
     """B3 — grade, risk weight, RWA = ead·rw, capital = RWA·ratio."""
     require_columns(df, pd_col, "ead")
-    df = df.withColumn("basel_grade", grade_column(pd_col))
-    df = df.withColumn("basel_rw", risk_weight_column("basel_grade"))
-    df = df.withColumn("rwa_standardised", F.col("ead") * F.col("basel_rw"))
-    return df.withColumn("capital_required_std", F.col("rwa_standardised") * F.lit(capital_ratio))
+    df = with_exprs(df, {"basel_grade": grade_sql(pd_col)})
+    df = with_exprs(df, {"basel_rw": risk_weight_sql("basel_grade")})
+    df = with_exprs(df, {"rwa_standardised": "ead * basel_rw"})
+    return with_exprs(df, {"capital_required_std": f"rwa_standardised * {X.num(capital_ratio)}"})
 
 
 def grade_bands(spark: SparkSession) -> DataFrame:
@@ -108,39 +112,39 @@ def basel_irb(df: DataFrame, *, maturity_col: str = "effective_maturity_years",
     if maturity_col == "effective_maturity_years":
         df = effective_maturity(df)
     require_columns(df, maturity_col)
-    p, rho, b, ok = "_irb_pd", "_irb_rho", "_irb_b", "_irb_ok"
-    pd_in, lgd_in, m_in = F.col(pd_col), F.col(lgd_col), F.col(maturity_col)
-    valid = (pd_in.isNotNull() & ~F.isnan(pd_in) & lgd_in.isNotNull() & ~F.isnan(lgd_in)
-             & m_in.isNotNull() & ~F.isnan(m_in.cast("double")))
+    pd_in, lgd_in, m_in = X.ident(pd_col), X.ident(lgd_col), X.ident(maturity_col)
+    valid = (f"({pd_in} IS NOT NULL AND NOT isnan({pd_in}) AND {lgd_in} IS NOT NULL AND NOT isnan({lgd_in}) "
+             f"AND {m_in} IS NOT NULL AND NOT isnan(CAST({m_in} AS DOUBLE)))")
+    lo_p, hi_p = IRB_PD_BOUNDS
+    lo_l, hi_l = IRB_LGD_BOUNDS
     # the core runs on non-nullable values (smaller generated code); invalid rows are masked at the end
-    df = df.withColumns({
-        ok: valid,
-        p: F.least(F.greatest(F.coalesce(pd_in, F.lit(0.5)), F.lit(IRB_PD_BOUNDS[0])), F.lit(IRB_PD_BOUNDS[1])),
-        "_irb_lgd": F.least(F.greatest(F.coalesce(lgd_in, F.lit(0.5)), F.lit(IRB_LGD_BOUNDS[0])),
-                            F.lit(IRB_LGD_BOUNDS[1])),
-        "_irb_m": F.coalesce(m_in.cast("double"), F.lit(M_CENTER)),
+    df = with_exprs(df, {
+        "_irb_ok": valid,
+        "_irb_pd": f"least(greatest(coalesce({pd_in}, {X.num(0.5)}), {X.num(lo_p)}), {X.num(hi_p)})",
+        "_irb_lgd": f"least(greatest(coalesce({lgd_in}, {X.num(0.5)}), {X.num(lo_l)}), {X.num(hi_l)})",
+        "_irb_m": f"coalesce(CAST({m_in} AS DOUBLE), {X.num(M_CENTER)})",
     })
-    b_expr = F.lit(B_A) - F.lit(B_B) * F.coalesce(F.ln(F.col(p)), F.lit(0.0))
+    b_expr = f"({X.num(B_A)} - {X.num(B_B)} * coalesce(ln(_irb_pd), {X.num(0.0)}))"
     if maturity_form == "squared":
-        b_expr = b_expr * b_expr
+        b_expr = f"({b_expr} * {b_expr})"
     elif maturity_form != "reference":
         raise ValueError("maturity_form must be 'reference' or 'squared'")
-    w = (F.lit(1.0) - F.exp(F.lit(-R_DECAY) * F.col(p))) / F.lit(1.0 - math.exp(-R_DECAY))
-    df = df.withColumn("_irb_w", w)
-    df = df.withColumns({rho: F.lit(R_LOW) * F.col("_irb_w") + F.lit(R_HIGH) * (F.lit(1.0) - F.col("_irb_w")),
-                         b: b_expr})
-    df = with_norm_ppf(df, p, "_irb_zpd", barrier=False)
-    zpd = F.coalesce(F.col("_irb_zpd"), F.lit(0.0))
-    x = (zpd + F.coalesce(F.sqrt(F.col(rho)), F.lit(0.0)) * F.lit(Z_999)) / \
-        F.coalesce(F.sqrt(F.lit(1.0) - F.col(rho)), F.lit(1.0))
-    df = df.withColumn("_irb_x", x)
+    df = with_exprs(df, {"_irb_w": f"({X.num(1.0)} - exp({X.num(-R_DECAY)} * _irb_pd)) / "
+                                   f"{X.num(1.0 - math.exp(-R_DECAY))}"})
+    df = with_exprs(df, {"_irb_rho": f"{X.num(R_LOW)} * _irb_w + {X.num(R_HIGH)} * ({X.num(1.0)} - _irb_w)",
+                         "_irb_b": b_expr})
+    df = with_norm_ppf(df, "_irb_pd", "_irb_zpd", barrier=False)
+    df = with_exprs(df, {"_irb_x": f"(coalesce(_irb_zpd, {X.num(0.0)}) + coalesce(sqrt(_irb_rho), {X.num(0.0)}) * "
+                                   f"{X.num(Z_999)}) / coalesce(sqrt({X.num(1.0)} - _irb_rho), {X.num(1.0)})"})
     df = with_norm_cdf(df, "_irb_x", "_irb_phi", barrier=False)
-    adj = (F.lit(1.0) + (F.col("_irb_m") - F.lit(M_CENTER)) * F.col(b)) / (F.lit(1.0) - F.lit(M_SLOPE) * F.col(b))
-    k = (F.col("_irb_lgd") * F.coalesce(F.col("_irb_phi"), F.lit(0.0)) - F.col("_irb_lgd") * F.col(p)) * adj
-    df = df.withColumn("irb_cap_ratio_per_ead", F.when(F.col(ok), k))
-    df = df.withColumn("rwa_irb", F.lit(RWA_SCALE) * F.col("irb_cap_ratio_per_ead") * F.col(ead_col))
-    df = df.withColumn("capital_required_irb", F.col("rwa_irb") * F.lit(cap_ratio))
-    df = df.drop(p, rho, b, ok, "_irb_w", "_irb_lgd", "_irb_m", "_irb_zpd", "_irb_x", "_irb_phi")
+    adj = (f"({X.num(1.0)} + (_irb_m - {X.num(M_CENTER)}) * _irb_b) / "
+           f"({X.num(1.0)} - {X.num(M_SLOPE)} * _irb_b)")
+    k = f"(_irb_lgd * coalesce(_irb_phi, {X.num(0.0)}) - _irb_lgd * _irb_pd) * {adj}"
+    df = with_exprs(df, {"irb_cap_ratio_per_ead": f"CASE WHEN _irb_ok THEN {k} END"})
+    df = with_exprs(df, {"rwa_irb": f"{X.num(RWA_SCALE)} * irb_cap_ratio_per_ead * {X.ident(ead_col)}"})
+    df = with_exprs(df, {"capital_required_irb": f"rwa_irb * {X.num(cap_ratio)}"})
+    df = df.drop("_irb_pd", "_irb_rho", "_irb_b", "_irb_ok", "_irb_w", "_irb_lgd", "_irb_m", "_irb_zpd",
+                 "_irb_x", "_irb_phi")
     return pushdown_barrier(df, "basel_irb")
 
 

@@ -11,7 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import Term, clip, flag, linear_score, normal, ratio, require_columns, sigmoid
+from ..functions import Term, normal, require_columns
+from ..functions import sqltext as X
+from ..functions.core import with_exprs
 
 # ---- fixed values: scorecard coefficients ----
 # point-in-time 12-month PD (also used, with shocked macro inputs, for additive stress)
@@ -59,31 +61,31 @@ def pit_pd(df: DataFrame, snapshot: Mapping[str, float], *, out: str = "pd_12m")
     ``snapshot`` holds ``unemployment_rate`` and ``gdp_growth`` scalars (M6).
     """
     require_columns(df, *_BORROWER)
-    z = linear_score(PIT_INTERCEPT, PIT_TERMS, snapshot)
-    return df.withColumn(out, sigmoid(z, LOGIT_BOUND))
+    z = X.linear_score(PIT_INTERCEPT, PIT_TERMS, snapshot)
+    return with_exprs(df, {out: X.sigmoid(z, LOGIT_BOUND)})
 
 
 def origination_pd(df: DataFrame, *, out: str = "pd_12m_origination") -> DataFrame:
     """P5 — PD at initial recognition."""
     require_columns(df, *_BORROWER)
-    return df.withColumn(out, sigmoid(linear_score(ORIG_INTERCEPT, ORIG_TERMS), LOGIT_BOUND))
+    return with_exprs(df, {out: X.sigmoid(X.linear_score(ORIG_INTERCEPT, ORIG_TERMS), LOGIT_BOUND)})
 
 
 def current_pd(df: DataFrame, *, factor_col: str = "pd_mult", base_col: str = "pd_12m_origination",
                out: str = "pd_12m", floor: float = PD_FLOOR, cap: float = PD_CAP) -> DataFrame:
     """P6 — current PD = clip(origination PD × deterioration factor)."""
     require_columns(df, factor_col, base_col)
-    return df.withColumn(out, clip(F.col(base_col) * F.col(factor_col), floor, cap))
+    return with_exprs(df, {out: X.clip(f"{X.ident(base_col)} * {X.ident(factor_col)}", floor, cap)})
 
 
 def simulate_default(df: DataFrame, *, pd_col: str = "pd_12m", draw_col: str = "default_draw",
                      scale: float = 1.0, cap: float | None = None, out: str = "default_12m") -> DataFrame:
     """D2 — default outcome 1 when the keyed draw falls below ``min(scale·pd, cap)``."""
     require_columns(df, pd_col, draw_col)
-    p = F.col(pd_col) * F.lit(float(scale)) if scale != 1.0 else F.col(pd_col)
+    p = f"{X.ident(pd_col)} * {X.num(scale)}" if scale != 1.0 else X.ident(pd_col)
     if cap is not None:
-        p = F.least(p, F.lit(float(cap)))
-    return df.withColumn(out, flag(F.col(draw_col) < p))
+        p = f"least({p}, {X.num(cap)})"
+    return with_exprs(df, {out: X.flag(f"{X.ident(draw_col)} < {p}")})
 
 
 def pd_ratio_and_flags(df: DataFrame, *, pd_col: str = "pd_12m", base_col: str = "pd_12m_origination",
@@ -91,11 +93,11 @@ def pd_ratio_and_flags(df: DataFrame, *, pd_col: str = "pd_12m", base_col: str =
                        dpd90_pd: float = DPD90_PD) -> DataFrame:
     """P7 + P8 — zero-safe PD ratio and the 30/90 days-past-due proxies."""
     require_columns(df, pd_col, base_col, default_col)
-    d = F.col(default_col) == 1
-    return df.withColumns({
-        "pd_ratio": ratio(pd_col, base_col),
-        "dpd_30_plus": flag(d | (F.col(pd_col) > F.lit(dpd30_pd))),
-        "dpd_90_plus": flag(d | (F.col(pd_col) > F.lit(dpd90_pd))),
+    d, pd = f"{X.ident(default_col)} = 1", X.ident(pd_col)
+    return with_exprs(df, {
+        "pd_ratio": f"{pd} / {X.zero_safe(X.ident(base_col))}",
+        "dpd_30_plus": X.flag(f"{d} OR {pd} > {X.num(dpd30_pd)}"),
+        "dpd_90_plus": X.flag(f"{d} OR {pd} > {X.num(dpd90_pd)}"),
     })
 
 
@@ -103,37 +105,39 @@ def lgd_from_score(df: DataFrame, *, noise_sd: float = 0.0, key_col: str = "loan
                    noise_salt: int = 13, out: str = "lgd") -> DataFrame:
     """P9 — LGD from credit score and booking-month macro (percent units)."""
     require_columns(df, "credit_score", "booking_unemp", "booking_hpi")
-    raw = (F.lit(LGD_BASE) + F.lit(LGD_SCORE) * (F.lit(850.0) - F.col("credit_score"))
-           + (F.lit(LGD_UNEMP) * (F.col("booking_unemp") - F.lit(5.0))
-              - F.lit(LGD_HPI) * (F.col("booking_hpi") - F.lit(100.0))))
+    raw = (f"({X.num(LGD_BASE)} + {X.num(LGD_SCORE)} * ({X.num(850.0)} - credit_score)) + "
+           f"({X.num(LGD_UNEMP)} * (booking_unemp - {X.num(5.0)}) - {X.num(LGD_HPI)} * (booking_hpi - {X.num(100.0)}))")
     if noise_sd:
-        raw = raw + normal(key_col, noise_salt, 0.0, noise_sd)
-    return df.withColumn(out, clip(raw, *LGD_BOUNDS))
+        df = df.withColumn("_lgd_noise", normal(key_col, noise_salt, 0.0, noise_sd))
+        raw = f"({raw}) + _lgd_noise"
+        return with_exprs(df, {out: X.clip(raw, *LGD_BOUNDS)}).drop("_lgd_noise")
+    return with_exprs(df, {out: X.clip(raw, *LGD_BOUNDS)})
 
 
 def ead(df: DataFrame, *, factor_col: str = "ead_factor", out: str = "ead") -> DataFrame:
     """P10 — exposure at default = loan amount × drawn factor."""
     require_columns(df, "loan_amount", factor_col)
-    return df.withColumn(out, F.col("loan_amount") * F.col(factor_col))
+    return with_exprs(df, {out: f"loan_amount * {X.ident(factor_col)}"})
 
 
 def ecl_term(df: DataFrame, *, pd_col: str = "pd_12m", default_col: str = "default_12m") -> DataFrame:
     """P11–P14 — realised loss, 12m ECL, lifetime PD by term, lifetime ECL (undiscounted)."""
     require_columns(df, "ead", "lgd", pd_col, default_col, "term_months")
-    life = F.lit(1.0) + (F.col("term_months") / F.lit(12.0) - F.lit(1.0)) * F.lit(LIFE_SLOPE)
-    df = df.withColumns({
-        "realized_loss_12m": F.col("ead") * F.col("lgd") * F.col(default_col),
-        "ecl_12m": F.col("ead") * F.col("lgd") * F.col(pd_col),
-        "pd_lifetime": clip(F.col(pd_col) * life, 0.0, PD_LIFETIME_CAP),
+    life = f"({X.num(1.0)} + (term_months / {X.num(12.0)} - {X.num(1.0)}) * {X.num(LIFE_SLOPE)})"
+    pd = X.ident(pd_col)
+    df = with_exprs(df, {
+        "realized_loss_12m": f"ead * lgd * {X.ident(default_col)}",
+        "ecl_12m": f"ead * lgd * {pd}",
+        "pd_lifetime": X.clip(f"{pd} * {life}", 0.0, PD_LIFETIME_CAP),
     })
-    return df.withColumn("ecl_lifetime", F.col("ead") * F.col("lgd") * F.col("pd_lifetime"))
+    return with_exprs(df, {"ecl_lifetime": "ead * lgd * pd_lifetime"})
 
 
 def ecl_multiplier(df: DataFrame, *, pd_col: str = "pd_12m", life_col: str = "life_mult") -> DataFrame:
     """P12 + P15 — 12m ECL = ead·pd·lgd; lifetime ECL = 12m ECL × lifetime multiplier."""
     require_columns(df, "ead", "lgd", pd_col, life_col)
-    df = df.withColumn("ecl_12m", F.col("ead") * F.col(pd_col) * F.col("lgd"))
-    return df.withColumn("ecl_lifetime", F.col("ecl_12m") * F.col(life_col))
+    df = with_exprs(df, {"ecl_12m": f"ead * {X.ident(pd_col)} * lgd"})
+    return with_exprs(df, {"ecl_lifetime": f"ecl_12m * {X.ident(life_col)}"})
 
 
 def effective_maturity(df: DataFrame, *, out: str = "effective_maturity_years") -> DataFrame:
@@ -141,4 +145,4 @@ def effective_maturity(df: DataFrame, *, out: str = "effective_maturity_years")
     if out in df.columns:
         return df
     require_columns(df, "term_months")
-    return df.withColumn(out, F.col("term_months") / F.lit(12.0))
+    return with_exprs(df, {out: f"term_months / {X.num(12.0)}"})

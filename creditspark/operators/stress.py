@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clip, linear_score, require_columns, sigmoid
+from ..functions import require_columns
+from ..functions import sqltext as X
+from ..functions.core import with_exprs
 from .risk import LOGIT_BOUND, PD_CAP, PD_FLOOR, PIT_INTERCEPT, PIT_TERMS
 
 # ---- fixed values: stress parameters ----
@@ -32,8 +34,8 @@ def stress_additive(df: DataFrame, snapshot: Mapping[str, float], *, unemp_shock
     require_columns(df, "ead", "lgd")
     shocked = {"unemployment_rate": snapshot["unemployment_rate"] + unemp_shock,
                "gdp_growth": snapshot["gdp_growth"] + gdp_shock}
-    df = df.withColumn("pd_12m_stressed", sigmoid(linear_score(PIT_INTERCEPT, PIT_TERMS, shocked), LOGIT_BOUND))
-    return df.withColumn("ecl_12m_stressed", F.col("ead") * F.col("lgd") * F.col("pd_12m_stressed"))
+    df = with_exprs(df, {"pd_12m_stressed": X.sigmoid(X.linear_score(PIT_INTERCEPT, PIT_TERMS, shocked), LOGIT_BOUND)})
+    return with_exprs(df, {"ecl_12m_stressed": "ead * lgd * pd_12m_stressed"})
 
 
 def pd_multiplier(snapshot: Mapping[str, float]) -> float:
@@ -45,5 +47,5 @@ def stress_multiplier(df: DataFrame, snapshot: Mapping[str, float]) -> DataFrame
     """M9 — stressed PD = clip(pd·m, 1e-4, 0.99); stressed 12m ECL = ead·pd_s·lgd."""
     require_columns(df, "pd_12m", "ead", "lgd")
     m = pd_multiplier(snapshot)
-    df = df.withColumn("pd_12m_stressed", clip(F.col("pd_12m") * F.lit(m), PD_FLOOR, PD_CAP))
-    return df.withColumn("ecl_12m_stressed", F.col("ead") * F.col("pd_12m_stressed") * F.col("lgd"))
+    df = with_exprs(df, {"pd_12m_stressed": X.clip(f"pd_12m * {X.num(m)}", PD_FLOOR, PD_CAP)})
+    return with_exprs(df, {"ecl_12m_stressed": "ead * pd_12m_stressed * lgd"})

@@ -36,8 +36,8 @@ _BOOKS: dict[tuple, Book] = {}
 
 def present(df: DataFrame, scale: int = 4) -> DataFrame:
     """Round double columns for cross-engine comparison (+0.0 folds −0.0 into 0.0)."""
-    return df.select(*[(F.round(F.col(f.name), scale) + F.lit(0.0)).alias(f.name)
-                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[f"round(`{f.name}`, {scale}) + 0.0D AS `{f.name}`"
+                           if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in df.schema.fields])
 
 
 def book(spark: SparkSession, sf_dir: str) -> Book:

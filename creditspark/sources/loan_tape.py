@@ -25,7 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import choice, clip, uniform, uniform_between
+from ..functions import sqltext as X
+from ..functions.core import with_exprs
 from .tables import read_table
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
@@ -109,27 +110,28 @@ def loan_tape(orders: DataFrame, customer: DataFrame, calendar: BookCalendar | N
     """Loan-grain table (columns of FIXTURES ``loan_tape_a`` minus the macro lookup)."""
     cal = calendar or book_calendar(orders)
     j = join_orders_customers(orders, customer, skew=skew)
-    key = F.col("o_orderkey")
-    bm = booking_month("o_orderdate")
-    return j.select(
-        key.alias("loan_id"),
-        F.col("o_custkey").alias("customer_id"),
-        bm.alias("booking_month"),
-        F.year(bm).alias("booking_year"),
-        (F.year(bm) - F.lit(cal.first_year)).alias("vintage_index"),
-        (F.lit(21) + F.col("c_custkey") % 54).cast("double").alias("age"),
-        clip(F.lit(15000.0) + (F.col("c_acctbal") + F.lit(1000.0)) * F.lit(12.0), 15000.0, 300000.0)
-        .alias("annual_income"),
-        (F.lit(300.0) + F.floor(F.lit(550.0) * (F.lit(0.35) + F.lit(0.65) * uniform(key, SALT["credit_score"])))
-         ).cast("double").alias("credit_score"),
-        F.floor(F.lit(35.0) * uniform(key, SALT["employment_years"])).cast("double").alias("employment_years"),
-        uniform_between(key, SALT["dti_ratio"], 0.1, 0.4).alias("dti_ratio"),
-        uniform(key, SALT["utilization_ratio"]).alias("utilization_ratio"),
-        F.floor(F.lit(6.0) * uniform(key, SALT["num_inquiries_12m"])).cast("int").alias("num_inquiries_12m"),
-        clip(F.col("o_totalprice") / F.lit(5.0), 10000.0, 100000.0).alias("loan_amount"),
-        choice(key, SALT["term_months"], list(term_choices), list(term_weights)).cast("int").alias("term_months"),
-        uniform_between(key, SALT["interest_rate"], 5.0, 19.0).alias("interest_rate"),
-    )
+    k = "o_orderkey"
+    bm = "trunc(CAST(o_orderdate AS DATE), 'month')"
+    cols = {
+        "loan_id": k,
+        "customer_id": "o_custkey",
+        "booking_month": bm,
+        "booking_year": f"year({bm})",
+        "vintage_index": f"year({bm}) - {int(cal.first_year)}",
+        "age": "CAST(21 + c_custkey % 54 AS DOUBLE)",
+        "annual_income": X.clip(f"{X.num(15000.0)} + (c_acctbal + {X.num(1000.0)}) * {X.num(12.0)}",
+                                15000.0, 300000.0),
+        "credit_score": f"CAST({X.num(300.0)} + floor({X.num(550.0)} * ({X.num(0.35)} + {X.num(0.65)} * "
+                        f"{X.uniform(k, SALT['credit_score'])})) AS DOUBLE)",
+        "employment_years": f"CAST(floor({X.num(35.0)} * {X.uniform(k, SALT['employment_years'])}) AS DOUBLE)",
+        "dti_ratio": X.uniform_between(k, SALT["dti_ratio"], 0.1, 0.4),
+        "utilization_ratio": X.uniform(k, SALT["utilization_ratio"]),
+        "num_inquiries_12m": f"CAST(floor({X.num(6.0)} * {X.uniform(k, SALT['num_inquiries_12m'])}) AS INT)",
+        "loan_amount": X.clip(f"o_totalprice / {X.num(5.0)}", 10000.0, 100000.0),
+        "term_months": f"CAST({X.choice(k, SALT['term_months'], list(term_choices), list(term_weights))} AS INT)",
+        "interest_rate": X.uniform_between(k, SALT["interest_rate"], 5.0, 19.0),
+    }
+    return j.select(*[F.expr(f"{text} AS {name}") for name, text in cols.items()])
 
 
 def with_draws(tape: DataFrame, part: str = "B") -> DataFrame:
@@ -139,16 +141,16 @@ def with_draws(tape: DataFrame, part: str = "B") -> DataFrame:
     0.8..2.5, lifetime multiplier 2..5 and LGD = 0.8·u⁴ (mean 0.16, the mean of
     0.8·Beta(0.1, 0.4)). Unused columns are pruned by Catalyst.
     """
-    key = F.col("loan_id")
-    cols = {"default_draw": uniform(key, SALT["default"])}
+    k = "loan_id"
+    cols = {"default_draw": X.uniform(k, SALT["default"])}
     if part.upper() == "A":
-        cols["ead_factor"] = uniform_between(key, SALT["ead_factor"], 0.6, 0.5)
+        cols["ead_factor"] = X.uniform_between(k, SALT["ead_factor"], 0.6, 0.5)
     else:
-        cols["ead_factor"] = uniform_between(key, SALT["ead_factor"], 0.8, 0.4)
-        cols["pd_mult"] = uniform_between(key, SALT["pd_mult"], 0.8, 1.7)
-        cols["life_mult"] = uniform_between(key, SALT["life_mult"], 2.0, 3.0)
-        cols["lgd"] = F.lit(0.8) * F.pow(uniform(key, SALT["lgd"]), F.lit(4.0))
-    return tape.withColumns(cols)
+        cols["ead_factor"] = X.uniform_between(k, SALT["ead_factor"], 0.8, 0.4)
+        cols["pd_mult"] = X.uniform_between(k, SALT["pd_mult"], 0.8, 1.7)
+        cols["life_mult"] = X.uniform_between(k, SALT["life_mult"], 2.0, 3.0)
+        cols["lgd"] = f"({X.num(0.8)} * power({X.uniform(k, SALT['lgd'])}, {X.num(4.0)}))"
+    return with_exprs(tape, cols)
 
 
 def with_parallelism_floor(df: DataFrame, key: str) -> DataFrame:
