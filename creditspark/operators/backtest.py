@@ -13,7 +13,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import require_columns, uniform
@@ -25,6 +25,8 @@ FEATURES = ("age", "annual_income", "credit_score", "employment_years", "dti_rat
 TEST_SIZE = 0.3
 MAX_ITER = 200
 SPLIT_SALT = 14
+# AUC: one ordered window over the per-score table up to this many distinct scores
+MAX_SINGLE_TASK_SCORES = 500_000
 
 
 def stratified_split(df: DataFrame, *, label_col: str = "default_12m", test_size: float = TEST_SIZE,
@@ -36,12 +38,22 @@ def stratified_split(df: DataFrame, *, label_col: str = "default_12m", test_size
 
 
 def auc(df: DataFrame, score_col: str, label_col: str, *, buckets: int | None = None) -> DataFrame:
-    """K4 — ROC AUC with ties counted half: Σ_v pos(v)·(neg_below(v) + neg(v)/2) / (P·N)."""
+    """K4 — ROC AUC with ties counted half: Σ_v pos(v)·(neg_below(v) + neg(v)/2) / (P·N).
+
+    Rows collapse to per-score counts (checkpointed). Up to ``MAX_SINGLE_TASK_SCORES``
+    distinct scores, one ordered window over that bounded table gives the
+    negatives below each score; beyond it, bucketed prefix sums do (``ordered``).
+    """
     counts = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
               .select(F.lit("auc").alias("g"), F.col(score_col).cast("double").alias("s"),
                       F.col(label_col).cast("long").alias("y"))
               .groupBy("g", "s").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
-    ps = prefix_sums(checkpointed(counts), "g", "s", ["neg"], buckets)
+    counts = checkpointed(counts)
+    if counts.limit(MAX_SINGLE_TASK_SCORES + 1).count() <= MAX_SINGLE_TASK_SCORES:
+        w = Window.partitionBy("g").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        ps = counts.withColumn("neg_before", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    else:
+        ps = prefix_sums(counts, "g", "s", ["neg"], buckets)
     return ps.agg(
         (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
          / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))

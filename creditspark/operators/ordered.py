@@ -19,6 +19,7 @@ key would pull the whole column into one task. Instead:
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -48,19 +49,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _bucketed(vc: DataFrame, group_col: str, value_col: str, b: int, accuracy: int) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
+def _bucket_bounds(vc: DataFrame, group_col: str, value_col: str, b: int, accuracy: int,
+                   extra_aggs=()) -> tuple[dict, dict]:
+    """Per group: sorted bucket boundaries (≤ b−1 values) and any extra one-row aggregates."""
     probs = [k / b for k in range(1, b)]
-    groups = [r[0] for r in vc.select(group_col).distinct().collect()]
-    bounds: dict = {}
+    aggs = list(extra_aggs)
     if probs:
-        rows = vc.groupBy(group_col).agg(F.percentile_approx(value_col, probs, accuracy).alias("_bnd")).collect()
-        bounds = {r[group_col]: sorted({float(x) for x in (r["_bnd"] or [])}) for r in rows}
+        aggs.append(F.percentile_approx(value_col, probs, accuracy).alias("_bnd"))
+    if not aggs:
+        aggs.append(F.count(F.lit(1)).alias("_n"))
+    rows = vc.groupBy(group_col).agg(*aggs).collect()
+    bounds = {r[group_col]: (sorted({float(x) for x in (r["_bnd"] or [])}) if probs else []) for r in rows}
+    return bounds, {r[group_col]: r.asDict() for r in rows}
+
+
+def _bucketed(vc: DataFrame, group_col: str, value_col: str, bounds: dict) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
+
     parts = []
-    for g in groups:
+    for g, bl in bounds.items():
         sub = vc.where(F.col(group_col) == F.lit(g))
-        bl = bounds.get(g) or []
         if bl:
             splits = [float("-inf")] + bl + [float("inf")]
             sub = Bucketizer(splits=splits, inputCol=value_col, outputCol="_bucket",
@@ -81,7 +89,8 @@ def prefix_sums(vc: DataFrame, group_col: str, value_col: str, sum_cols: list[st
     ``vc`` must have one row per (group, value) (see :func:`value_counts`) and
     should be cheap to read twice (checkpointed).
     """
-    vb = _bucketed(vc, group_col, value_col, _num_buckets(vc, buckets), accuracy)
+    bounds, _ = _bucket_bounds(vc, group_col, value_col, _num_buckets(vc, buckets), accuracy)
+    vb = _bucketed(vc, group_col, value_col, bounds)
     w = (Window.partitionBy(group_col, "_bucket").orderBy(value_col)
          .rowsBetween(Window.unboundedPreceding, -1))
     within = vb.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
@@ -102,17 +111,44 @@ def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     ])).alias("kv")).select("kv.*")
 
 
-def quantiles_from_counts(vc: DataFrame, probs=(0.25, 0.5, 0.75), *, buckets: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles from a (variable, v, n) value-count table."""
-    ps = prefix_sums(vc, "variable", "v", ["n"], buckets)
-    totals = vc.groupBy("variable").agg(F.sum("n").alias("_N"))
-    tgt = totals.select("variable", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "_N")
-    tgt = tgt.withColumn("_pos", F.col("prob") * (F.col("_N") - F.lit(1)))
-    ranks = tgt.select("variable", "prob", "_pos",
-                       F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))).alias("_k"))
-    # a value covers ranks [n_before, n_before + n): equi-join on variable, then a range filter
-    hit = ps.join(F.broadcast(ranks), "variable").where(
-        (F.col("_k") >= F.col("n_before")) & (F.col("_k") < F.col("n_before") + F.col("n")))
+def quantiles_from_counts(vc: DataFrame, probs=(0.25, 0.5, 0.75), *, buckets: int | None = None,
+                          accuracy: int = 10_000, stats: dict | None = None) -> DataFrame:
+    """Linear-interpolated quantiles from a (variable, v, n) value-count table.
+
+    Bucket totals (at most variables × buckets rows) are brought to the driver
+    to find which bucket holds each target rank; only those buckets are sorted.
+    """
+    b = _num_buckets(vc, buckets)
+    bounds, _ = _bucket_bounds(vc, "variable", "v", b, accuracy)
+    vb = _bucketed(vc, "variable", "v", bounds)
+    tot_rows = vb.groupBy("variable", "_bucket").agg(F.sum("n").alias("tot")).collect()
+    per_var: dict = {}
+    for r in tot_rows:
+        per_var.setdefault(r["variable"], []).append((r["_bucket"], int(r["tot"])))
+    targets = []  # (variable, prob, pos, rank, bucket, rank within bucket)
+    for var, bl in per_var.items():
+        bl.sort()
+        total = sum(t for _, t in bl)
+        for p in probs:
+            pos = float(p) * (total - 1)
+            for k in sorted({math.floor(pos), math.ceil(pos)}):
+                off = 0
+                for bucket, t in bl:
+                    if k < off + t:
+                        targets.append((var, float(p), pos, int(k), int(bucket), int(k - off)))
+                        break
+                    off += t
+    spark = vc.sparkSession
+    if not targets:
+        return spark.createDataFrame([], "variable string, prob double, value double")
+    tgt = spark.createDataFrame(targets, "variable string, prob double, _pos double, _k long, _bucket int, _kb long")
+    keys = tgt.select("variable", "_bucket").distinct()
+    w = (Window.partitionBy("variable", "_bucket").orderBy("v")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    inb = vb.join(F.broadcast(keys), ["variable", "_bucket"], "left_semi") \
+        .withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    hit = inb.join(F.broadcast(tgt), ["variable", "_bucket"]).where(
+        (F.col("_kb") >= F.col("_before")) & (F.col("_kb") < F.col("_before") + F.col("n")))
     kv = hit.groupBy("variable", "prob", "_pos").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col("_k"), F.col("v")))).alias("_at"))
     lo = F.element_at("_at", F.floor("_pos"))

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import require_columns
 from .ordered import checkpointed, long_values, moments_from_counts, quantiles_from_counts, value_counts
 
+# exact quartiles read a value→count map in one task up to this many distinct values per column
+MAX_EXACT_DISTINCT = 500_000
+
 # ---- fixed values: KPI labels ----
 KPI_LABELS = ("Number of loans", "Portfolio EAD", "Portfolio 12m ECL", "Portfolio Lifetime ECL",
               "12m Default Rate")
@@ -139,12 +142,41 @@ def describe(df: DataFrame, cols: list[str], *, probs=(0.25, 0.5, 0.75), approx_
         return out.select("variable", "count", "mean", "std", "min",
                           *[F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)], "max")
     vc = checkpointed(value_counts(long_values(df, cols), "variable", "v"))
-    moments = moments_from_counts(vc)
-    ql = quantiles_from_counts(vc, probs, buckets=buckets)
-    q = ql.groupBy("variable").agg(*[
-        F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(names[p]) for p in probs])
-    return moments.join(q, "variable", "left").select(
-        "variable", "count", "mean", "std", "min", *[names[p] for p in probs], "max")
+    stats = {r["variable"]: r for r in vc.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("N"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("v").alias("min"), F.max("v").alias("max")).collect()}
+    if not stats:
+        return df.sparkSession.createDataFrame(
+            [], "variable string, count double, mean double, std double, min double, "
+                + ", ".join(f"{names[p]} double" for p in probs) + ", max double")
+    mean_of = F.lit(None).cast("double")
+    for var, r in stats.items():
+        mean_of = F.when(F.col("variable") == F.lit(var), F.lit(r["mean"])).otherwise(mean_of)
+    small = [v for v, r in stats.items() if r["distinct"] <= MAX_EXACT_DISTINCT]
+    large = [v for v in stats if v not in small]
+    # second moment about the mean (two-pass, stable) and, for groups with a bounded number of
+    # distinct values, the exact percentile (value → count map of at most MAX_EXACT_DISTINCT entries)
+    aggs = [F.sum(F.col("n") * (F.col("v") - mean_of) * (F.col("v") - mean_of)).alias("_m2")]
+    if small:
+        aggs.append(F.percentile(F.when(F.col("variable").isin(small), F.col("v")),
+                                 F.array(*[F.lit(float(p)) for p in probs]), F.col("n")).alias("_q"))
+    final = vc.groupBy("variable").agg(*aggs)
+    qcols = [F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)] if small else \
+        [F.lit(None).cast("double").alias(names[p]) for p in probs]
+    final = final.select("variable", "_m2", *qcols)
+    if large:
+        ql = quantiles_from_counts(vc.where(F.col("variable").isin(large)), probs, buckets=buckets)
+        qw = ql.groupBy("variable").agg(*[
+            F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(f"_l_{names[p]}") for p in probs])
+        final = final.join(qw, "variable", "left").select(
+            "variable", "_m2", *[F.coalesce(names[p], f"_l_{names[p]}").alias(names[p]) for p in probs])
+    moments = df.sparkSession.createDataFrame(
+        [(v, float(r["N"]), float(r["mean"]), float(r["min"]), float(r["max"])) for v, r in stats.items()],
+        "variable string, count double, mean double, min double, max double")
+    out = final.join(F.broadcast(moments), "variable")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - F.lit(1.0))))
+    return out.select("variable", "count", "mean", std.alias("std"), "min", *[names[p] for p in probs], "max")
 
 
 def shape(df: DataFrame) -> DataFrame:

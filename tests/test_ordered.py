@@ -72,3 +72,23 @@ def test_stage_mix_shares_sum_to_one(spark):
     assert [r["stage"] for r in rows] == [1, 2, 3]
     assert sum(r["share"] for r in rows) == pytest.approx(1.0)
     assert rows[0]["share"] == pytest.approx(0.5)
+
+
+def test_describe_bucketed_path_matches_pandas(spark, monkeypatch):
+    monkeypatch.setattr(reports, "MAX_EXACT_DISTINCT", 0)
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(size=300), np.full(200, 1.5)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    r = reports.describe(df, ["v"], buckets=5).first()
+    assert r["std"] == pytest.approx(vals.std(ddof=1), rel=1e-10)
+    for p, col in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        assert r[col] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+
+
+def test_auc_bucketed_path(spark, monkeypatch):
+    monkeypatch.setattr(backtest, "MAX_SINGLE_TASK_SCORES", 0)
+    rng = np.random.default_rng(13)
+    s = np.round(rng.uniform(size=200), 3)
+    y = (rng.uniform(size=200) < s).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "s double, y int")
+    assert backtest.auc(df, "s", "y", buckets=6).first()["auc"] == pytest.approx(brute_auc(s, y), rel=1e-12)
