@@ -163,4 +163,4 @@ def irb_by_stage(df: DataFrame, stage_col: str = "stage_ifrs9") -> DataFrame:
         F.coalesce(F.sum("capital_required_irb"), F.lit(0.0)).alias("capital_required_irb"),
         F.avg("pd_12m").alias("pd_12m"),
         F.avg("irb_cap_ratio_per_ead").alias("irb_cap_ratio_per_ead"),
-    ).orderBy(stage_col))
+    ).coalesce(1).sortWithinPartitions(stage_col))

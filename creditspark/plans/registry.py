@@ -138,7 +138,7 @@ def _realized_loss(b: Book):
     """P11 — realised 12m loss and defaults per booking year."""
     return b.part_a().groupBy("booking_year").agg(
         F.count(F.lit(1)).alias("loans"), F.sum("default_12m").cast("long").alias("defaults"),
-        F.sum("realized_loss_12m").alias("realized_loss_12m")).orderBy("booking_year")
+        F.sum("realized_loss_12m").alias("realized_loss_12m")).transform(reports.sort_small, "booking_year")
 
 
 # ---- staging -----------------------------------------------------------------------------
@@ -249,7 +249,7 @@ def _stage_mix_stressed(b: Book):
         .agg(F.count(F.lit(1)).alias("loans"))
     from pyspark.sql import Window
     share = F.col("loans") / F.sum("loans").over(Window.partitionBy("scenario"))
-    return counts.withColumn("share", share).orderBy("scenario", "stage_ifrs9")
+    return reports.sort_small(counts.withColumn("share", share), "scenario", "stage_ifrs9")
 
 
 @query("stage_ecl_stressed")
@@ -339,7 +339,7 @@ def _brier(b: Book):
 def _stratified_split(b: Book):
     """K1 — class × split counts of the 70/30 split."""
     return backtest.stratified_split(b.part_a()).groupBy("default_12m", "split") \
-        .agg(F.count(F.lit(1)).alias("loans")).orderBy("default_12m", "split")
+        .agg(F.count(F.lit(1)).alias("loans")).transform(reports.sort_small, "default_12m", "split")
 
 
 @query("pd_backtest")
