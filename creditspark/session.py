@@ -42,10 +42,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) is a fresh local folder created for it.
+    On a cluster that setting points at shared storage and is used as is; if it
+    is missing there, this fails rather than writing to a machine-local folder.
+    Only a local master (tests, single-node runs) gets a fresh local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without driver-side context access: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured:
         if sc.getCheckpointDir() is None:
@@ -54,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive executor loss)")
     local = tempfile.mkdtemp(prefix="creditspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
