@@ -51,11 +51,20 @@ class Book:
             self._cache["ramp"] = snapshot(ramp_scenario(self.spark), "date")
         return self._cache["ramp"]
 
+    def _plan(self, key, build):
+        """Memoise a composed plan (a DataFrame object, no data) so queries reuse its analysis."""
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
+
     # ---- part A -----------------------------------------------------------
     def tape_with_macro(self) -> DataFrame:
-        return lookup_macro_at_booking(self.tape, self.macro())
+        return self._plan("tape_macro", lambda: lookup_macro_at_booking(self.tape, self.macro()))
 
     def part_a(self, lgd_noise_sd: float = 0.0) -> DataFrame:
+        return self._plan(("part_a", lgd_noise_sd), lambda: self._part_a(lgd_noise_sd))
+
+    def _part_a(self, lgd_noise_sd: float) -> DataFrame:
         df = with_draws(self.tape_with_macro(), "A")
         df = risk.pit_pd(df, self.macro_snapshot())
         df = risk.simulate_default(df)
@@ -65,10 +74,14 @@ class Book:
         return staging.stage_by_pd_band(df)
 
     def part_a_stressed(self) -> DataFrame:
-        return stress.stress_additive(self.part_a(), self.macro_snapshot())
+        return self._plan("part_a_stressed", lambda: stress.stress_additive(self.part_a(), self.macro_snapshot()))
 
     # ---- part B -----------------------------------------------------------
     def part_b(self, **stage_params) -> DataFrame:
+        key = ("part_b",) + tuple(sorted(stage_params.items()))
+        return self._plan(key, lambda: self._part_b(**stage_params))
+
+    def _part_b(self, **stage_params) -> DataFrame:
         df = with_draws(self.tape, "B")
         df = risk.origination_pd(df)
         df = risk.current_pd(df)
@@ -79,12 +92,15 @@ class Book:
         return risk.ecl_multiplier(df)
 
     def part_b_stressed(self, refresh_flags: bool = False) -> DataFrame:
-        df = stress.stress_multiplier(self.part_b(), self.ramp_snapshot())
-        return staging.restage_stressed(df, refresh_flags=refresh_flags)
+        def build():
+            df = stress.stress_multiplier(self.part_b(), self.ramp_snapshot())
+            return staging.restage_stressed(df, refresh_flags=refresh_flags)
+        return self._plan(("part_b_stressed", refresh_flags), build)
 
     # ---- part C -----------------------------------------------------------
     def standardised(self) -> DataFrame:
-        return capital.basel_standardised(self.part_b())
+        return self._plan("standardised", lambda: capital.basel_standardised(self.part_b()))
 
     def irb(self, **kw) -> DataFrame:
+        # not memoised: each call gets its own observation (pushdown barrier) name
         return capital.basel_irb(self.part_b(), **kw)

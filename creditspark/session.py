@@ -63,3 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="creditspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def recommended_conf(input_bytes: int, total_cores: int, *, target_shuffle_partition_bytes: int = 256 << 20,
+                     max_split_bytes: int = 256 << 20) -> dict:
+    """Shuffle and split sizing for a cluster run (a starting point; AQE coalesces below it).
+
+    Shuffle partitions: enough that each holds ~``target_shuffle_partition_bytes`` of the
+    largest shuffled input (the orders side of the loan-tape join), and at least two
+    waves of tasks over the cluster's cores. Scan splits stay at ``max_split_bytes``.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // int(target_shuffle_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_shuffle_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_shuffle_partition_bytes),
+    }

@@ -1,0 +1,27 @@
+"""Final-table sink (S5) and session helpers."""
+
+import os
+
+from creditspark.plans.book import Book
+from creditspark.session import recommended_conf
+from creditspark.sources.sinks import FINAL_COLS, write_final_table
+
+
+def test_final_table_csv_and_parquet(spark, sf_small, scratch):
+    book = Book.open(spark, sf_small)
+    csv_dir, pq_dir = os.path.join(scratch, "csv"), os.path.join(scratch, "pq")
+    write_final_table(book.part_a(), csv_dir, "csv")
+    write_final_table(book.part_a(), pq_dir, "parquet", partition_by="booking_year")
+    back = spark.read.option("header", True).csv(csv_dir)
+    assert back.columns == list(FINAL_COLS)
+    assert back.count() == 1500
+    assert back.where("booking_month RLIKE '^[0-9]{4}-[0-9]{2}$'").count() == 1500
+    pq = spark.read.parquet(pq_dir)
+    assert pq.count() == 1500 and "booking_year" in pq.columns
+
+
+def test_recommended_conf_scales():
+    small = recommended_conf(10 << 30, 8000)
+    big = recommended_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
