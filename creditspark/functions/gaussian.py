@@ -83,7 +83,8 @@ def norm_ppf(p: ColumnOrName) -> Column:
     return _ppf_from_parts(q, r_central, _tail_r(pc, q))
 
 
-def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf", barrier: bool = True) -> DataFrame:
+def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf", barrier: bool = True,
+                  assume_valid: bool = False) -> DataFrame:
     """Staged Φ⁻¹ for heavy use; NULL for a NULL/NaN p or p outside (0, 1).
 
     Every intermediate column is referenced more than once by the next step, so
@@ -97,8 +98,8 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
 
     pv, q, rc, rt, t1, t2 = (f"{prefix}_{n}" for n in ("p", "q", "rc", "rt", "t1", "t2"))
     p = X.ident(p_col)
-    valid = f"({p} IS NOT NULL AND NOT isnan({p}) AND {p} > 0 AND {p} < 1)"
-    df = with_exprs(df, {pv: f"CASE WHEN {valid} THEN {p} ELSE {X.num(0.5)} END"})
+    valid = "true" if assume_valid else f"({p} IS NOT NULL AND NOT isnan({p}) AND {p} > 0 AND {p} < 1)"
+    df = with_exprs(df, {pv: p if assume_valid else f"CASE WHEN {valid} THEN {p} ELSE {X.num(0.5)} END"})
     df = with_exprs(df, {q: f"{pv} - {X.num(0.5)}"})
     df = with_exprs(df, {
         rc: f"{X.num(0.180625)} - {q} * {q}",
@@ -111,7 +112,8 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     # the sign as a factor, so each polynomial appears once in the generated code
     sign = f"(CASE WHEN {q} < 0 THEN {X.num(-1.0)} ELSE {X.num(1.0)} END)"
     core = f"(CASE WHEN abs({q}) <= {X.num(0.425)} THEN {central} ELSE {sign} * {tail_mag} END)"
-    df = with_exprs(df, {out_col: f"CASE WHEN {valid} THEN {core} END"}).drop(pv, q, rc, rt, t1, t2)
+    out = core if assume_valid else f"CASE WHEN {valid} THEN {core} END"
+    df = with_exprs(df, {out_col: out}).drop(pv, q, rc, rt, t1, t2)
     return pushdown_barrier(df, "norm_ppf") if barrier else df
 
 
@@ -138,14 +140,18 @@ def norm_cdf(x: ColumnOrName) -> Column:
     return F.when(xc > 0, F.lit(1.0) - lower).otherwise(lower)
 
 
-def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf", barrier: bool = True) -> DataFrame:
-    """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL."""
+def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf", barrier: bool = True,
+                  assume_valid: bool = False) -> DataFrame:
+    """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL.
+
+    ``assume_valid`` skips the NULL handling when the caller guarantees a non-null x.
+    """
     from . import sqltext as X
     from .core import with_exprs
 
     xv, a, e, lo = (f"{prefix}_{n}" for n in ("x", "a", "e", "lower"))
     x = X.ident(x_col)
-    df = with_exprs(df, {xv: f"coalesce({x}, {X.num(0.0)})"})
+    df = with_exprs(df, {xv: x if assume_valid else f"coalesce({x}, {X.num(0.0)})"})
     df = with_exprs(df, {a: f"abs({xv})"})
     df = with_exprs(df, {e: f"exp(-({a} * {a}) / {X.num(2.0)})"})
     near = f"{e} * {X.horner_high(a, CDF_NUM)} / {X.horner_high(a, CDF_DEN)}"
@@ -155,6 +161,7 @@ def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf",
     far = f"{e} / {cf} / {X.num(SQRT_2PI)}"
     df = with_exprs(df, {lo: f"(CASE WHEN {a} > {X.num(CDF_CUTOFF)} THEN {X.num(0.0)} "
                             f"WHEN {a} < {X.num(CDF_SPLIT)} THEN {near} ELSE {far} END)"})
-    out = f"CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE) WHEN {xv} > 0 THEN {X.num(1.0)} - {lo} ELSE {lo} END"
+    sign_case = f"CASE WHEN {xv} > 0 THEN {X.num(1.0)} - {lo} ELSE {lo} END"
+    out = sign_case if assume_valid else f"CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE) ELSE {sign_case} END"
     df = with_exprs(df, {out_col: out}).drop(xv, a, e, lo)
     return pushdown_barrier(df, "norm_cdf") if barrier else df
