@@ -9,6 +9,8 @@ parsed with an explicit schema (no inference).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,9 +51,30 @@ CATALOGUE_SCHEMA = T.StructType([
 ])
 
 
+MAX_LOCAL_SPEC_BYTES = 16 << 20
+
+
+def _spec_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a spec file as a ``value`` column.
+
+    A plain path that exists on the driver (e.g. a spec shipped inside this
+    package) is read on the driver — executors on a cluster cannot see the
+    driver's disk — after a size check; anything else (shared storage URIs) is
+    read by Spark.
+    """
+    if "://" not in path and os.path.isfile(path):
+        size = os.path.getsize(path)
+        if size > MAX_LOCAL_SPEC_BYTES:
+            raise ValueError(f"spec file {path} is {size} bytes; put large specs on shared storage")
+        with open(path, encoding="utf-8") as fh:
+            lines = [(line.rstrip("\n"),) for line in fh]
+        return spark.createDataFrame(lines, "value string")
+    return spark.read.text(path)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a ``raw_json`` container into typed columns (one row per object line)."""
-    lines = spark.read.text(path)
+    lines = _spec_lines(spark, path)
     body = lines.where((F.trim("value") != F.lit(HEADER)) & (F.length(F.trim("value")) > 0))
     # PERMISSIVE: the predicate above and the parse may be evaluated in either
     # order (common-subexpression elimination), so the header must not raise.

@@ -64,3 +64,11 @@ def test_unsupported_transformation_rejected(spark, tmp_path):
     df = spark.createDataFrame([("x",)], "a string")
     with pytest.raises(ValueError):
         catalog.direct_mapping(df, spec, "t")
+
+
+def test_spec_from_spark_readable_uri(spark, tmp_path):
+    p = tmp_path / "spec.json"
+    p.write_text(open(MAPPING_SPEC).read())
+    a = read_mapping_spec(spark, "file://" + str(p)).count()
+    b = read_mapping_spec(spark, MAPPING_SPEC).count()
+    assert a == b == 10
