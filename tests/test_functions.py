@@ -164,3 +164,37 @@ def test_filter_after_irb_is_planned(spark):
     assert irb.where("capital_required_irb > 150 AND irb_cap_ratio_per_ead < 0.2").count() == want
     out2 = with_norm_cdf(with_norm_ppf(df, "pd_12m", "z"), "z", "c").where("c > 0.205 AND z < 1")
     assert out2.count() == df.where("pd_12m > 0.205 AND pd_12m < 0.8413447460685429").count()
+
+
+def test_sql_functions_match_dataframe_helpers(spark):
+    from creditspark.functions.sqlfunctions import register_sql_functions
+
+    register_sql_functions(spark)
+    r = spark.sql("SELECT cs_sigmoid(99.0D) s, cs_norm_cdf(1.0D) c, cs_norm_ppf(0.975D) q, "
+                  "cs_clip(CAST('NaN' AS DOUBLE), 0D, 1D) n, cs_clip(5.0D, 0D, 1D) k").first()
+    assert r["s"] == pytest.approx(0.9999546021312976, rel=1e-12)
+    assert r["c"] == pytest.approx(0.5 * math.erfc(-1 / math.sqrt(2)), rel=1e-13)
+    assert r["q"] == pytest.approx(NormalDist().inv_cdf(0.975), rel=1e-13)
+    assert r["n"] is None and r["k"] == 1.0
+    df = spark.range(0, 50).selectExpr("id", "cs_uniform(id, 6) AS a")
+    df = df.select("id", "a", uniform("id", 6).alias("b"))
+    assert df.where("a <> b").count() == 0
+
+
+def test_shock_macro_adds_columns(spark):
+    import datetime as dt
+
+    from creditspark.sources.macro import macro_series
+    m = stress.shock_macro(macro_series(spark, dt.date(2015, 1, 1), 3)).first()
+    assert m["unemployment_rate_stressed"] == pytest.approx(m["unemployment_rate"] + 3.0)
+    assert m["gdp_growth_stressed"] == pytest.approx(m["gdp_growth"] - 4.0)
+
+
+def test_lgd_noise_is_keyed_normal(spark):
+    df = spark.range(0, 20000).select(F.col("id").alias("loan_id"), F.lit(700.0).alias("credit_score"),
+                                      F.lit(6.0).alias("booking_unemp"), F.lit(110.0).alias("booking_hpi"))
+    a = risk.lgd_from_score(df, noise_sd=0.05)
+    b = risk.lgd_from_score(df.repartition(7), noise_sd=0.05)
+    r = a.agg(F.avg("lgd"), F.stddev("lgd")).first()
+    assert r[0] == pytest.approx(0.2945, abs=0.002) and r[1] == pytest.approx(0.05, rel=0.05)
+    assert a.exceptAll(b).count() == 0
