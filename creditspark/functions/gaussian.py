@@ -96,9 +96,13 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     from . import sqltext as X
     from .core import with_exprs
 
-    pv, q, rc, rt, t1, t2 = (f"{prefix}_{n}" for n in ("p", "q", "rc", "rt", "t1", "t2"))
+    ok, pv, q, rc, rt, t1, t2 = (f"{prefix}_{n}" for n in ("ok", "p", "q", "rc", "rt", "t1", "t2"))
     p = X.ident(p_col)
-    valid = "true" if assume_valid else f"({p} IS NOT NULL AND NOT isnan({p}) AND {p} > 0 AND {p} < 1)"
+    if assume_valid:
+        valid = "true"
+    else:
+        df = with_exprs(df, {ok: f"({p} IS NOT NULL AND NOT isnan({p}) AND {p} > 0 AND {p} < 1)"})
+        valid = ok
     df = with_exprs(df, {pv: p if assume_valid else f"CASE WHEN {valid} THEN {p} ELSE {X.num(0.5)} END"})
     df = with_exprs(df, {q: f"{pv} - {X.num(0.5)}"})
     df = with_exprs(df, {
@@ -113,7 +117,7 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     sign = f"(CASE WHEN {q} < 0 THEN {X.num(-1.0)} ELSE {X.num(1.0)} END)"
     core = f"(CASE WHEN abs({q}) <= {X.num(0.425)} THEN {central} ELSE {sign} * {tail_mag} END)"
     out = core if assume_valid else f"CASE WHEN {valid} THEN {core} END"
-    df = with_exprs(df, {out_col: out}).drop(pv, q, rc, rt, t1, t2)
+    df = with_exprs(df, {out_col: out}).drop(pv, q, rc, rt, t1, t2, *([] if assume_valid else [ok]))
     return pushdown_barrier(df, "norm_ppf") if barrier else df
 
 
@@ -141,10 +145,11 @@ def norm_cdf(x: ColumnOrName) -> Column:
 
 
 def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf", barrier: bool = True,
-                  assume_valid: bool = False) -> DataFrame:
+                  assume_valid: bool = False, near_only: bool = False) -> DataFrame:
     """Staged Φ (see :func:`with_norm_ppf` for why the steps are columns); NULL stays NULL.
 
-    ``assume_valid`` skips the NULL handling when the caller guarantees a non-null x.
+    ``assume_valid`` skips the NULL handling when the caller guarantees a non-null x;
+    ``near_only`` drops the |x| ≥ 7.07 branch when the caller guarantees |x| < 7.07.
     """
     from . import sqltext as X
     from .core import with_exprs
@@ -159,8 +164,11 @@ def with_norm_cdf(df: DataFrame, x_col: str, out_col: str, prefix: str = "_cdf",
     for k in (4.0, 3.0, 2.0, 1.0):
         cf = f"({a} + {X.num(k)} / {cf})"
     far = f"{e} / {cf} / {X.num(SQRT_2PI)}"
-    df = with_exprs(df, {lo: f"(CASE WHEN {a} > {X.num(CDF_CUTOFF)} THEN {X.num(0.0)} "
-                            f"WHEN {a} < {X.num(CDF_SPLIT)} THEN {near} ELSE {far} END)"})
+    if near_only:
+        df = with_exprs(df, {lo: near})
+    else:
+        df = with_exprs(df, {lo: f"(CASE WHEN {a} > {X.num(CDF_CUTOFF)} THEN {X.num(0.0)} "
+                                f"WHEN {a} < {X.num(CDF_SPLIT)} THEN {near} ELSE {far} END)"})
     sign_case = f"CASE WHEN {xv} > 0 THEN {X.num(1.0)} - {lo} ELSE {lo} END"
     out = sign_case if assume_valid else f"CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE) ELSE {sign_case} END"
     df = with_exprs(df, {out_col: out}).drop(xv, a, e, lo)
