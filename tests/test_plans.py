@@ -68,3 +68,22 @@ def test_only_window_is_the_bounded_macro_path(plans):
             assert "Range (0," in tail, name   # ... whose input is the bounded month range
         else:
             assert n_windows == 0, (name, n_windows)
+
+
+def _max_method_bytes(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        seq = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        sizes = []
+        it = seq.iterator()
+        while it.hasNext():
+            sizes.append(it.next()._3().maxMethodCodeSize())
+        return max(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_irb_generated_methods_fit_the_jit_limit(spark, sf_small):
+    df = E.queries()["irb_capital"](spark, sf_small)
+    assert _max_method_bytes(spark, df) < 8000
