@@ -84,7 +84,7 @@ def norm_ppf(p: ColumnOrName) -> Column:
 
 
 def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf", barrier: bool = True,
-                  assume_valid: bool = False) -> DataFrame:
+                  assume_valid: bool = False, deep_tail: bool = True) -> DataFrame:
     """Staged Φ⁻¹ for heavy use; NULL for a NULL/NaN p or p outside (0, 1).
 
     Every intermediate column is referenced more than once by the next step, so
@@ -92,6 +92,9 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     non-nullable values (invalid inputs are masked once at the end), which keeps
     the generated code small enough for the JIT. ``barrier`` stops later filters
     from being pushed into the staged steps (see ``core.pushdown_barrier``).
+    ``assume_valid`` skips the input mask when the caller guarantees a non-null p
+    inside (0, 1); ``deep_tail=False`` drops the r > 5 branch, valid when the caller
+    guarantees min(p, 1 − p) ≥ e^(−25) ≈ 1.4e-11.
     """
     from . import sqltext as X
     from .core import with_exprs
@@ -111,8 +114,12 @@ def with_norm_ppf(df: DataFrame, p_col: str, out_col: str, prefix: str = "_ppf",
     })
     df = with_exprs(df, {t1: f"{rt} - {X.num(1.6)}", t2: f"{rt} - {X.num(5.0)}"})
     central = f"{q} * {X.horner_low(rc, PPND16_A)} / {X.horner_low(rc, PPND16_B)}"
-    tail_mag = (f"(CASE WHEN {rt} <= {X.num(5.0)} THEN {X.horner_low(t1, PPND16_C)} / {X.horner_low(t1, PPND16_D)} "
-                f"ELSE {X.horner_low(t2, PPND16_E)} / {X.horner_low(t2, PPND16_F)} END)")
+    near_tail = f"{X.horner_low(t1, PPND16_C)} / {X.horner_low(t1, PPND16_D)}"
+    if deep_tail:
+        tail_mag = (f"(CASE WHEN {rt} <= {X.num(5.0)} THEN {near_tail} "
+                    f"ELSE {X.horner_low(t2, PPND16_E)} / {X.horner_low(t2, PPND16_F)} END)")
+    else:
+        tail_mag = f"({near_tail})"
     # the sign as a factor, so each polynomial appears once in the generated code
     sign = f"(CASE WHEN {q} < 0 THEN {X.num(-1.0)} ELSE {X.num(1.0)} END)"
     core = f"(CASE WHEN abs({q}) <= {X.num(0.425)} THEN {central} ELSE {sign} * {tail_mag} END)"

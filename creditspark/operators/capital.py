@@ -133,7 +133,8 @@ def basel_irb(df: DataFrame, *, maturity_col: str = "effective_maturity_years",
                                    f"{X.num(1.0 - math.exp(-R_DECAY))}"})
     df = with_exprs(df, {"_irb_rho": f"{X.num(R_LOW)} * _irb_w + {X.num(R_HIGH)} * ({X.num(1.0)} - _irb_w)",
                          "_irb_b": b_expr})
-    df = with_norm_ppf(df, "_irb_pd", "_irb_zpd", barrier=False)
+    # _irb_pd >= 1e-4, so sqrt(-ln(min(p, 1 - p))) <= 3.04 < 5: the quantile's deep-tail branch is never taken
+    df = with_norm_ppf(df, "_irb_pd", "_irb_zpd", barrier=False, deep_tail=False, assume_valid=True)
     df = with_exprs(df, {"_irb_x": f"(coalesce(_irb_zpd, {X.num(0.0)}) + coalesce(sqrt(_irb_rho), {X.num(0.0)}) * "
                                    f"{X.num(Z_999)}) / coalesce(sqrt({X.num(1.0)} - _irb_rho), {X.num(1.0)})"})
     # |x| <= (|Φ⁻¹(1e-4)| + √0.24·Φ⁻¹(0.999)) / √0.76 ≈ 6.0 < 7.07: the CDF's far-tail branch is never taken

@@ -84,6 +84,7 @@ def _max_method_bytes(spark, df):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_irb_generated_methods_fit_the_jit_limit(spark, sf_small):
-    df = E.queries()["irb_capital"](spark, sf_small)
+@pytest.mark.parametrize("name", ["irb_capital", "irb_by_stage", "stage_ecl", "loan_tape"])
+def test_generated_methods_fit_the_jit_limit(spark, sf_small, name):
+    df = E.queries()[name](spark, sf_small)
     assert _max_method_bytes(spark, df) < 8000
