@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .packing import pack_documents
 from .shared import fresh_path, table
+from .simhash_dedup import near_duplicates
+from .substring_dedup import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .tokens import vocabulary_path
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-ids")
     write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(None))
@@ -22,5 +30,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(None))
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_output, op8_packing)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op8_packing, op9_simhash_dedup)}
