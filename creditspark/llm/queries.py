@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import report as decontamination_report
 from .packing import pack_documents
+from .secret_ledger import BASE_RULES, scan_versions
 from .shared import fresh_path, table
 from .simhash_dedup import near_duplicates
 from .substring_dedup import remove_repeats
@@ -26,6 +28,25 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def _spans_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
+
+
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_versions(table(spark, sf_dir, "documents"), fresh_path(spark, "secret-ledger"))
+    base = F.filter("findings", lambda x: x["order"] < len(BASE_RULES))
+    return found.select(
+        "doc_id",
+        *(_count(r.kind).alias(f"n_{r.kind}") for r in BASE_RULES),
+        F.sha2(_spans_text(base), 256).alias("base_sha256"),
+        _spans_text(F.col("findings")).alias("spans"),
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(None))
 
@@ -35,5 +56,9 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op8_packing, op9_simhash_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination)}
