@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from .decontamination import report as decontamination_report
 from .packing import pack_documents
+from .quality_rules import learn_rules, statistics, verdicts
 from .secret_ledger import BASE_RULES, scan_versions
 from .shared import fresh_path, table
 from .simhash_dedup import near_duplicates
 from .substring_dedup import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .tokens import vocabulary_path
+from .toxicity import CUT, held_out, scores, train
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +30,20 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = verdicts(statistics(docs), learn_rules(docs, table(spark, sf_dir, "labels")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = scores(docs, train(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
 def _spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
@@ -61,4 +77,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op4_quality_rules, op6_toxicity, op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination)}

@@ -13,11 +13,11 @@ import numpy as np
 
 CHUNK = 1 << 20
 U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Odd multipliers of the rolling hashes and of the mixers; any odd 64-bit values would do.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-_BYTE = np.random.default_rng(20240607).integers(0, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+BYTE = np.random.default_rng(20240607).integers(0, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -76,15 +76,22 @@ class Words:
         np.cumsum([len(t) + 1 for t in texts], out=at[1:])
         space = np.empty(len(self.buf) + 2, bool)
         space[0] = space[-1] = True
-        space[1:-1] = _SPACE[self.buf]
+        space[1:-1] = SPACE[self.buf]
         edge = np.flatnonzero(space[1:] != space[:-1])
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, at)
         self.n = np.diff(self.first)
         self.text_of = np.repeat(np.arange(len(texts)), self.n)
 
+    @staticmethod
+    def counts(flat: bytes, cut: list[int]) -> np.ndarray:
+        """How many words start in each flat[cut[k]:cut[k + 1]]."""
+        space = SPACE[np.frombuffer(flat, np.uint8)]
+        start = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+        return np.diff(np.searchsorted(start, cut))
+
     def hashes(self) -> np.ndarray:
-        return span_hash(_BYTE[self.buf], self.start, self.end, BASES[0])
+        return span_hash(BYTE[self.buf], self.start, self.end, BASES[0])
 
 
 def prefix(h: np.ndarray, base: int) -> np.ndarray:
