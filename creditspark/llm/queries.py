@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import report as decontamination_report
+from .line_dedup import without_repeated_lines
 from .packing import pack_documents
 from .quality_rules import learn_rules, statistics, verdicts
 from .secret_ledger import BASE_RULES, scan_versions
@@ -17,6 +18,7 @@ from .substring_dedup import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .tokens import vocabulary_path
 from .toxicity import CUT, held_out, scores, train
+from .url_filter import judged
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +32,12 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = without_repeated_lines(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return left.select("row.doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = verdicts(statistics(docs), learn_rules(docs, table(spark, sf_dir, "labels")))
@@ -38,6 +46,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = scores(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -77,4 +89,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_token_output, op4_quality_rules, op6_toxicity, op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination)}
+    found = (
+        op1_substring_dedup, op2_token_output, op3_line_dedup, op4_quality_rules, op5_url_filter, op6_toxicity,
+        op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination,
+    )
+    return {f.__name__: f for f in found}
