@@ -46,7 +46,10 @@ def encode(ids: np.ndarray) -> bytes:
         for _ in range(int(COUNTS[sel]) - have):
             have += 1
             np.maximum(most[: max(0, n - have + 1)], width[have - 1 :], out=most[: max(0, n - have + 1)])
-        best[(most <= int(WIDTHS[sel])) & (left >= int(COUNTS[sel]))] = sel
+        fits = most <= int(WIDTHS[sel])
+        if not fits.any():  # nor will more ids fit into fewer bits each
+            break
+        best[fits & (left >= int(COUNTS[sel]))] = sel
     first = np.arange(0, n, BLOCK)
     end, at, live, visited = np.minimum(first + BLOCK, n), first.copy(), np.arange(len(first)), []
     while len(live):
