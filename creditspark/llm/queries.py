@@ -47,7 +47,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(table(spark, sf_dir, "pages"))
+    return judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

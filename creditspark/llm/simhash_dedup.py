@@ -184,6 +184,7 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
         if last:
             return ready
         rows = written(kept.where(F.col("n") > limit).select("fp", "path").distinct(), "hot-shards")
+        fixed = {r.path: fixed[r.path] for r in rows.select("path").distinct().collect()}  # of those in steps
 
 
 def fingerprint_groups(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
