@@ -1,11 +1,14 @@
 """K1–K5 — PD model back-test on Spark ML.
 
-* K1: stratified 70/30 split by a keyed draw per loan. Each class lands ~30% in
-  test independently of partitioning; no per-class global sort (a class can be
-  a third of the book, which a ``row_number`` window would put in one task).
+* K1: exact stratified 70/30 split. Each loan has a key (hash of its id alone, so
+  a corrected label does not move a loan's place in the order); within a class
+  the loans with the smallest keys are the test rows, as many as the class's
+  share of ``ceil(test_size · n)``. The cut is an exact order statistic
+  (``ordered.exact_ranks``), not a per-class sort: a class may be a third of the book.
 * K2/K3: L2 logistic regression (``pyspark.ml``), unscaled features; with
   ``regParam = 1/n_train`` it optimises the same objective as an L2 model with
-  C = 1 on summed log-loss. Score = probability of class 1.
+  C = 1 on summed log-loss. Score = probability of class 1. A row with a NULL or
+  NaN feature or label is an error, never dropped.
 * K4: exact tie-aware ROC AUC (Mann–Whitney) from per-score counts and
   distributed prefix sums (``ordered.prefix_sums``).
 * K5: Brier score, a plain mean.
@@ -13,47 +16,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import require_columns, uniform
-from .ordered import checkpointed, prefix_sums
+from ..functions import Term, require_columns
+from ..functions import sqltext as X
+from ..functions.core import with_exprs
+from .ordered import checkpointed, exact_ranks, prefix_sums
 
 # ---- fixed values: back-test feature list (no loan_amount) and settings ----
 FEATURES = ("age", "annual_income", "credit_score", "employment_years", "dti_ratio", "utilization_ratio",
             "num_inquiries_12m", "booking_unemp", "booking_gdp_growth", "vintage_index")
 TEST_SIZE = 0.3
 MAX_ITER = 200
-SPLIT_SALT = 14
-# AUC: one ordered window over the per-score table up to this many distinct scores
-MAX_SINGLE_TASK_SCORES = 500_000
+SPLIT_SALT = "split"
+# A documented coefficient vector to score with where no fit is wanted (champion model): intercept and weights.
+CHAMPION_INTERCEPT = 0.5
+CHAMPION_TERMS = (
+    Term(0.015, "age"), Term(-4e-6, "annual_income"), Term(-0.006, "credit_score"), Term(-0.02, "employment_years"),
+    Term(5.0, "dti_ratio"), Term(2.5, "utilization_ratio"), Term(0.2, "num_inquiries_12m"),
+    Term(0.1, "booking_unemp"), Term(-0.05, "booking_gdp_growth"), Term(0.12, "vintage_index"),
+)
+CHAMPION_BOUND = 30.0
+
+
+def split_key(key_col: str = "loan_id") -> F.Column:
+    """52 bits of an md5 of the loan id: exact as a double, ties between loans are negligible."""
+    digest = F.md5(F.concat(F.col(key_col).cast("string"), F.lit(f":{SPLIT_SALT}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
+
+
+def _test_rows(counts: dict, test_size: float) -> dict:
+    """Rows of each class in the test part: shares of ``ceil(test_size · n)`` by largest remainder."""
+    n = sum(counts.values())
+    total = min(n, math.ceil(test_size * n - 1e-9))
+    exact = {c: counts[c] * total / n for c in counts}
+    out = {c: math.floor(exact[c]) for c in counts}
+    for c in sorted(counts, key=lambda c: (out[c] - exact[c], c))[: total - sum(out.values())]:
+        out[c] += 1
+    return out
 
 
 def stratified_split(df: DataFrame, *, label_col: str = "default_12m", test_size: float = TEST_SIZE,
-                     key_col: str = "loan_id", salt: int = SPLIT_SALT, out: str = "split") -> DataFrame:
-    """K1 — ``split`` = 'test' for a keyed draw below ``test_size`` (per row, so per class)."""
+                     key_col: str = "loan_id", out: str = "split") -> DataFrame:
+    """K1 — ``split`` = 'test' for exactly the class's share of rows, else 'train'.
+
+    Reads ``df`` three times (class sizes, brackets, ranks): pass a written table.
+    """
     require_columns(df, label_col, key_col)
-    u = uniform(F.concat(F.col(key_col).cast("string"), F.lit(":"), F.col(label_col).cast("string")), salt)
-    return df.withColumn(out, F.when(u < F.lit(test_size), F.lit("test")).otherwise(F.lit("train")))
+    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}
+    if None in counts:
+        raise ValueError(f"{counts[None]} rows have no {label_col}")
+    wanted = _test_rows(counts, test_size) if counts else {}
+    names = {str(c): c for c in counts if 0 < wanted[c] < counts[c]}
+    key = split_key(key_col)
+    cuts = exact_ranks(
+        df, {n: F.when(F.col(label_col) == F.lit(c), key) for n, c in names.items()},
+        {n: [wanted[c]] for n, c in names.items()}, {n: counts[c] for n, c in names.items()})
+    test = F.lit(False)
+    for c in counts:
+        cut = cuts[str(c)][wanted[c]] if str(c) in names else math.inf if wanted[c] else -1.0
+        test = test | ((F.col(label_col) == F.lit(c)) & (key.cast("double") < F.lit(float(cut))))
+    return df.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def auc(df: DataFrame, score_col: str, label_col: str, *, buckets: int | None = None) -> DataFrame:
     """K4 — ROC AUC with ties counted half: Σ_v pos(v)·(neg_below(v) + neg(v)/2) / (P·N).
 
-    Rows collapse to per-score counts (checkpointed). Up to ``MAX_SINGLE_TASK_SCORES``
-    distinct scores, one ordered window over that bounded table gives the
-    negatives below each score; beyond it, bucketed prefix sums do (``ordered``).
+    Rows collapse to per-score counts (checkpointed); bucketed prefix sums give
+    the negatives below each score. Rows without score or label are left out; NaN
+    scores and a book with one class only are errors.
     """
     counts = (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
               .select(F.lit("auc").alias("g"), F.col(score_col).cast("double").alias("s"),
                       F.col(label_col).cast("long").alias("y"))
               .groupBy("g", "s").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
     counts = checkpointed(counts)
-    if counts.limit(MAX_SINGLE_TASK_SCORES + 1).count() <= MAX_SINGLE_TASK_SCORES:
-        w = Window.partitionBy("g").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        ps = counts.withColumn("neg_before", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    else:
-        ps = prefix_sums(counts, "g", "s", ["neg"], buckets)
+    seen = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+                      F.count(F.when(F.isnan("s"), 1)).alias("nan")).first()
+    if seen["nan"]:
+        raise ValueError(f"{score_col} holds NaN")
+    if not seen["pos"] or not seen["neg"]:
+        raise ValueError(f"AUC needs both classes of {label_col}; found {seen['pos'] or 0} ones and {seen['neg'] or 0} zeros")
+    ps = prefix_sums(counts, "g", "s", ["neg"], buckets)
     return ps.agg(
         (F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
          / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
@@ -65,42 +112,64 @@ def brier(df: DataFrame, score_col: str, label_col: str) -> DataFrame:
     return df.agg(F.avg(d * d).alias("brier"))
 
 
+def _assembled(df: DataFrame, features) -> DataFrame:
+    """Feature vectors; a NULL or NaN feature raises."""
+    from pyspark.ml.feature import VectorAssembler
+
+    out = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
+    nan = F.lit(False)
+    for c in features:
+        nan = nan | F.isnan(F.col(c).cast("double"))
+    ok = F.when(nan, F.raise_error(F.lit("a feature is NaN"))).otherwise(F.lit(True))
+    return out.where(ok)
+
+
 def fit_pd_model(train: DataFrame, features=FEATURES, *, label_col: str = "default_12m",
-                 max_iter: int = MAX_ITER, n_train: int | None = None):
+                 max_iter: int = MAX_ITER):
     """K2 — unscaled L2 logistic regression; returns the fitted ``pyspark.ml`` model."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip") \
-        .transform(train.select(*features, F.col(label_col).cast("double").alias("label")))
-    n = n_train if n_train is not None else assembled.count()
-    lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+    label = F.coalesce(F.col(label_col).cast("double"), F.raise_error(F.lit(f"{label_col} is NULL")).cast("double"))
+    rows = _assembled(train.select(*features, label.alias("label")), features)
+    n = rows.count()  # the rows that are fitted: none is dropped
+    lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0, tol=1e-12,
                             standardization=False, fitIntercept=True, family="binomial")
-    return lr.fit(assembled)
+    return lr.fit(rows)
 
 
 def score(model, df: DataFrame, features=FEATURES, *, out: str = "pd_model") -> DataFrame:
     """K3 — probability of class 1 from a fitted model."""
-    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    assembled = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
-    return (model.transform(assembled)
+    return (model.transform(_assembled(df, features))
             .withColumn(out, vector_to_array(F.col("probability"))[1])
             .drop("features", "rawPrediction", "probability", "prediction"))
 
 
+def champion_score(df: DataFrame, *, out: str = "pd_model") -> DataFrame:
+    """K3 with the documented coefficient vector: a projection, no fit."""
+    require_columns(df, *FEATURES)
+    z = X.linear_score(CHAMPION_INTERCEPT, CHAMPION_TERMS)
+    return with_exprs(df, {out: X.sigmoid(z, CHAMPION_BOUND)})
+
+
+def split_table(df: DataFrame, features=FEATURES, *, label_col: str = "default_12m") -> DataFrame:
+    """Loan id, label, features and split, written once to the checkpoint folder."""
+    narrow = checkpointed(df.select("loan_id", label_col, *features))
+    return stratified_split(narrow, label_col=label_col)
+
+
+def metrics(scored: DataFrame, score_col: str = "pd_model", *, label_col: str = "default_12m") -> DataFrame:
+    """K4 + K5 out of sample: one row ``n_train, n_test, auc, brier``."""
+    d = F.col(score_col) - F.col(label_col).cast("double")
+    test = F.col("split") == "test"
+    sums = scored.agg(F.count(F.when(~test, 1)).alias("n_train"), F.count(F.when(test, 1)).alias("n_test"),
+                      F.avg(F.when(test, d * d)).alias("brier"))
+    return auc(scored.where(test), score_col, label_col).crossJoin(sums).select("n_train", "n_test", "auc", "brier")
+
+
 def pd_backtest(df: DataFrame, features=FEATURES, *, label_col: str = "default_12m") -> DataFrame:
     """K1–K5 end to end: one row ``n_train, n_test, auc, brier`` (out of sample)."""
-    split = stratified_split(df.select("loan_id", label_col, *features), label_col=label_col)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    n_train = train.count()
-    model = fit_pd_model(train, features, label_col=label_col, n_train=n_train)
-    scored = score(model, test, features)
-    a = auc(scored, "pd_model", label_col).first()["auc"]
-    m = scored.agg(F.count(F.lit(1)).alias("n_test"),
-                   F.avg((F.col("pd_model") - F.col(label_col).cast("double")) ** 2).alias("brier")).first()
-    spark = df.sparkSession
-    return spark.createDataFrame([(int(n_train), int(m["n_test"]), a, m["brier"])],
-                                 "n_train long, n_test long, auc double, brier double")
+    split = split_table(df, features, label_col=label_col)
+    model = fit_pd_model(split.where(F.col("split") == "train"), features, label_col=label_col)
+    return metrics(score(model, split, features), label_col=label_col)

@@ -1,45 +1,34 @@
 """Exact order statistics without a single-task global sort.
 
-Quantiles (``describe``) and the rank-sum AUC both need, for each value, how
-many rows lie strictly below it. A window ``ORDER BY value`` with no partition
-key would pull the whole column into one task. Instead:
-
-1. collapse rows to one row per distinct (group, value) with counts — a hash
-   aggregate with map-side combine, so a value repeated on a third of all rows
-   becomes one row per map task, never a hot partition. This table is
-   checkpointed (reliable storage under ``spark.checkpoint.dir``), so the
-   expensive upstream runs once and a lost executor does not re-run it;
-2. cut each group's value range into ``buckets`` at approximate percentiles of
-   its distinct values (a small array per group, brought to the driver), and
-   assign buckets with ``Bucketizer`` (binary search, JVM side);
-3. prefix-sum inside each bucket with a window partitioned by (group, bucket),
-   and add each bucket's offset from a bucket-totals table of at most
-   groups × buckets rows (broadcast: that bound is a parameter).
+Two tools, each with one plan at every size:
+
+* :func:`prefix_sums` — for each value, sums over the rows strictly below it. Rows
+  are first collapsed to one per distinct (group, value), a hash aggregate with
+  map-side combine, so a value repeated on a third of all rows becomes one row
+  per map task. The counts are range-partitioned by (group, value); each range
+  is summed by a window of its own and shifted by the totals of the ranges
+  before it, a table of one row per range and group (broadcast: it is bounded by
+  the number of shuffle partitions plus groups).
+* :func:`exact_ranks` — the k-th smallest values of several columns. One wide
+  aggregate brackets each rank with ``percentile_approx``; a second one counts
+  the rows below each bracket, and only the values inside it (a few hundredths
+  of a percent of the rows) are collapsed and summed by prefix to find the rank.
+
+Tables that are read twice go through ``checkpoint`` (reliable storage under
+``spark.checkpoint.dir``), so the expensive upstream runs once and a lost
+executor does not re-run it.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
-
-
-def _num_buckets(df: DataFrame, buckets: int | None) -> int:
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(int(buckets), MAX_BUCKETS))
-
-
-def value_counts(df: DataFrame, group_col: str, value_col: str, sums: dict | None = None) -> DataFrame:
-    """One row per distinct (group, value): ``n`` rows plus optional summed columns."""
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(c).alias(name) for name, c in (sums or {}).items()]
-    return df.where(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col))) \
-        .groupBy(group_col, value_col).agg(*aggs)
+# relative accuracy of the brackets: a rank is sought within 2·N/ACCURACY ranks either side
+ACCURACY = 10_000
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -49,130 +38,104 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _bucket_bounds(vc: DataFrame, group_col: str, value_col: str, b: int, accuracy: int,
-                   extra_aggs=()) -> tuple[dict, dict]:
-    """Per group: sorted bucket boundaries (≤ b−1 values) and any extra one-row aggregates."""
-    probs = [k / b for k in range(1, b)]
-    aggs = list(extra_aggs)
-    if probs:
-        aggs.append(F.percentile_approx(value_col, probs, accuracy).alias("_bnd"))
-    if not aggs:
-        aggs.append(F.count(F.lit(1)).alias("_n"))
-    rows = vc.groupBy(group_col).agg(*aggs).collect()
-    bounds = {r[group_col]: (sorted({float(x) for x in (r["_bnd"] or [])}) if probs else []) for r in rows}
-    return bounds, {r[group_col]: r.asDict() for r in rows}
-
-
-def _bucketed(vc: DataFrame, group_col: str, value_col: str, bounds: dict) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
-    parts = []
-    for g, bl in bounds.items():
-        sub = vc.where(F.col(group_col) == F.lit(g))
-        if bl:
-            splits = [float("-inf")] + bl + [float("inf")]
-            sub = Bucketizer(splits=splits, inputCol=value_col, outputCol="_bucket",
-                             handleInvalid="keep").transform(sub)
-            sub = sub.withColumn("_bucket", F.col("_bucket").cast("int"))
-        else:
-            sub = sub.withColumn("_bucket", F.lit(0))
-        parts.append(sub)
-    if not parts:
-        return vc.withColumn("_bucket", F.lit(0))
-    return reduce(lambda x, y: x.unionByName(y), parts)
-
-
 def prefix_sums(vc: DataFrame, group_col: str, value_col: str, sum_cols: list[str],
-                buckets: int | None = None, accuracy: int = 10_000) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Add ``<c>_before`` = Σ c over rows of the same group with a smaller value.
 
-    ``vc`` must have one row per (group, value) (see :func:`value_counts`) and
-    should be cheap to read twice (checkpointed).
+    ``vc`` must have one row per (group, value) and be cheap to read twice
+    (checkpointed): Spark samples it to choose the ranges. ``buckets`` is the
+    number of ranges (default: the session's shuffle partitions).
     """
-    bounds, _ = _bucket_bounds(vc, group_col, value_col, _num_buckets(vc, buckets), accuracy)
-    vb = _bucketed(vc, group_col, value_col, bounds)
-    w = (Window.partitionBy(group_col, "_bucket").orderBy(value_col)
+    keys = [group_col, value_col]
+    ranged = vc.repartitionByRange(buckets, *keys) if buckets else vc.repartitionByRange(*keys)
+    ranged = checkpointed(ranged.withColumn("_range", F.spark_partition_id()))
+    w = (Window.partitionBy("_range", group_col).orderBy(value_col)
          .rowsBetween(Window.unboundedPreceding, -1))
-    within = vb.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
-    totals = vb.groupBy(group_col, "_bucket").agg(*[F.sum(c).alias(f"_{c}_tot") for c in sum_cols])
-    wo = (Window.partitionBy(group_col).orderBy("_bucket")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(group_col, "_bucket", *[
+    within = ranged.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in sum_cols})
+    totals = ranged.groupBy(group_col, "_range").agg(*[F.sum(c).alias(f"_{c}_tot") for c in sum_cols])
+    wo = Window.partitionBy(group_col).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(group_col, "_range", *[
         F.coalesce(F.sum(f"_{c}_tot").over(wo), F.lit(0)).alias(f"_{c}_off") for c in sum_cols])
-    out = within.join(F.broadcast(offsets), [group_col, "_bucket"], "inner")
+    out = within.join(F.broadcast(offsets), [group_col, "_range"], "inner")
     out = out.withColumns({f"{c}_before": F.col(f"_{c}_off") + F.col(f"_{c}_in") for c in sum_cols})
-    return out.drop("_bucket", *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols])
+    return out.drop("_range", *[f"_{c}_in" for c in sum_cols], *[f"_{c}_off" for c in sum_cols])
 
 
-def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``variable, v`` rows (one per input row and column), values as double."""
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("kv")).select("kv.*")
+def number(c: str | Column) -> Column:
+    """A column as double, NaN as NULL."""
+    v = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def quantiles_from_counts(vc: DataFrame, probs=(0.25, 0.5, 0.75), *, buckets: int | None = None,
-                          accuracy: int = 10_000, stats: dict | None = None) -> DataFrame:
-    """Linear-interpolated quantiles from a (variable, v, n) value-count table.
+def exact_ranks(df: DataFrame, columns: Mapping[str, str | Column], ranks: Mapping[str, Sequence[int]],
+                counts: Mapping[str, int], *, accuracy: int = ACCURACY,
+                buckets: int | None = None) -> dict[str, dict[int, float]]:
+    """``{name: {k: the k-th smallest value, from 0}}``; NULL and NaN are ignored.
 
-    Bucket totals (at most variables × buckets rows) are brought to the driver
-    to find which bucket holds each target rank; only those buckets are sorted.
+    ``counts`` holds the number of values per name, as the caller's own aggregate
+    found it. Two passes over ``df`` as a rule: brackets, then counts below them
+    together with the values inside. If an approximate bracket misses its rank,
+    it is widened and the pass repeated, so the result is always exact.
     """
-    b = _num_buckets(vc, buckets)
-    bounds, _ = _bucket_bounds(vc, "variable", "v", b, accuracy)
-    vb = _bucketed(vc, "variable", "v", bounds)
-    tot_rows = vb.groupBy("variable", "_bucket").agg(F.sum("n").alias("tot")).collect()
-    per_var: dict = {}
-    for r in tot_rows:
-        per_var.setdefault(r["variable"], []).append((r["_bucket"], int(r["tot"])))
-    targets = []  # (variable, prob, pos, rank, bucket, rank within bucket)
-    for var, bl in per_var.items():
-        bl.sort()
-        total = sum(t for _, t in bl)
-        for p in probs:
-            pos = float(p) * (total - 1)
-            for k in sorted({math.floor(pos), math.ceil(pos)}):
-                off = 0
-                for bucket, t in bl:
-                    if k < off + t:
-                        targets.append((var, float(p), pos, int(k), int(bucket), int(k - off)))
-                        break
-                    off += t
-    spark = vc.sparkSession
-    if not targets:
-        return spark.createDataFrame([], "variable string, prob double, value double")
-    tgt = spark.createDataFrame(targets, "variable string, prob double, _pos double, _k long, _bucket int, _kb long")
-    keys = tgt.select("variable", "_bucket").distinct()
-    w = (Window.partitionBy("variable", "_bucket").orderBy("v")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    inb = vb.join(F.broadcast(keys), ["variable", "_bucket"], "left_semi") \
-        .withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    hit = inb.join(F.broadcast(tgt), ["variable", "_bucket"]).where(
-        (F.col("_kb") >= F.col("_before")) & (F.col("_kb") < F.col("_before") + F.col("n")))
-    kv = hit.groupBy("variable", "prob", "_pos").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_k"), F.col("v")))).alias("_at"))
-    lo = F.element_at("_at", F.floor("_pos"))
-    hi = F.element_at("_at", F.ceil("_pos"))
-    frac = F.col("_pos") - F.floor("_pos")
-    return kv.select("variable", "prob", (lo + (hi - lo) * frac).alias("value"))
-
-
-def moments_from_counts(vc: DataFrame) -> DataFrame:
-    """count, mean, sample std (two-pass: mean first, then Σn(v−mean)²), min, max per variable."""
-    first = vc.groupBy("variable").agg(
-        F.sum("n").alias("_N"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    m2 = vc.join(F.broadcast(first.select("variable", "mean")), "variable") \
-        .groupBy("variable").agg(F.sum(F.col("n") * (F.col("v") - F.col("mean")) ** 2).alias("_m2"))
-    return first.join(m2, "variable").select(
-        "variable", F.col("_N").cast("double").alias("count"), "mean",
-        F.when(F.col("_N") > 1, F.sqrt(F.col("_m2") / (F.col("_N") - F.lit(1)))).alias("std"), "min", "max")
+    todo = {(n, k) for n, ks in ranks.items() for k in ks if 0 <= k < counts.get(n, 0)}
+    values = df.select(*[number(c).alias(n) for n, c in columns.items()])
+    found: dict[str, dict[int, float]] = {n: {} for n in ranks}
+    margin = 2.0 / accuracy
+    while todo:
+        names = sorted({n for n, _ in todo})
+        order = {n: sorted(k for m, k in todo if m == n) for n in names}
+        cuts = {n: [min(1.0, max(0.0, k / max(counts[n] - 1, 1) + s * margin))
+                    for k in order[n] for s in (-1, 1)] for n in names}
+        got = values.agg(*[F.percentile_approx(n, cuts[n], accuracy).alias(n) for n in names]).first()
+        bracket = {}
+        for n in names:
+            for i, k in enumerate(order[n]):
+                lo, hi = got[n][2 * i], got[n][2 * i + 1]
+                bracket[n, k] = (-math.inf if margin >= 1 else lo, math.inf if margin >= 1 else hi)
+        distinct = sorted({(n, *b) for (n, _), b in bracket.items()})
+        sums = []
+        for i, (n, lo, hi) in enumerate(distinct):
+            sums += [F.count(F.when(F.col(n) < lo, 1)).alias(f"lt{i}"), F.count(F.when(F.col(n) <= hi, 1)).alias(f"le{i}")]
+        below = values.agg(*sums).first()
+        wide = [(i, n, lo, hi) for i, (n, lo, hi) in enumerate(distinct) if lo < hi]
+        inside = None
+        if wide:
+            each = F.array(*[F.struct(F.lit(i).alias("slice"),
+                                      F.when((F.col(n) >= lo) & (F.col(n) <= hi), F.col(n)).alias("v"))
+                             for i, n, lo, hi in wide])
+            rows = values.select(F.explode(F.filter(each, lambda s: s["v"].isNotNull())).alias("s")).select("s.*")
+            inside = checkpointed(rows.groupBy("slice", "v").agg(F.count(F.lit(1)).alias("n")))
+        targets, missed = [], set()
+        for n, k in sorted(todo):
+            i = distinct.index((n, *bracket[n, k]))
+            lo, hi = bracket[n, k]
+            if not below[f"lt{i}"] <= k < below[f"le{i}"]:
+                missed.add((n, k))
+            elif lo == hi:
+                found[n][k] = lo
+            else:
+                targets.append((n, k, i, k - below[f"lt{i}"]))
+        if targets:
+            spark = df.sparkSession
+            want = spark.createDataFrame(targets, "name string, k long, slice int, at long")
+            placed = prefix_sums(inside, "slice", "v", ["n"], buckets).join(F.broadcast(want), "slice")
+            for r in placed.where("at >= n_before and at < n_before + n").select("name", "k", "v").collect():
+                found[r["name"]][r["k"]] = r["v"]
+        todo, margin = missed, margin * 16
+    return found
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), *,
-                    buckets: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """Linear-interpolated quantiles (NumPy "linear", DuckDB ``quantile_cont``); NULL/NaN ignored."""
-    vc = value_counts(long_values(df, cols), "variable", "v")
-    if checkpoint:
-        vc = checkpointed(vc)
-    return quantiles_from_counts(vc, probs, buckets=buckets)
+                    counts: Mapping[str, int] | None = None, buckets: int | None = None) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles per column (NumPy "linear", DuckDB ``quantile_cont``)."""
+    if counts is None:
+        counts = df.agg(*[F.count(number(c)).alias(c) for c in cols]).first().asDict()
+    at = {c: [float(p) * (counts[c] - 1) for p in probs] for c in cols}
+    ranks = {c: sorted({f(x) for x in at[c] if counts[c] for f in (math.floor, math.ceil)}) for c in cols}
+    values = exact_ranks(df, {c: c for c in cols}, ranks, counts, buckets=buckets)
+
+    def between(c: str, x: float) -> float:
+        lo, hi = values[c][math.floor(x)], values[c][math.ceil(x)]
+        return lo + (hi - lo) * (x - math.floor(x))
+
+    return {c: [between(c, x) if counts[c] else None for x in at[c]] for c in cols}

@@ -12,10 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import require_columns
-from .ordered import checkpointed, long_values, moments_from_counts, quantiles_from_counts, value_counts
-
-# exact quartiles read a value→count map in one task up to this many distinct values per column
-MAX_EXACT_DISTINCT = 500_000
+from .ordered import exact_quantiles, number
 
 # ---- fixed values: KPI labels ----
 KPI_LABELS = ("Number of loans", "Portfolio EAD", "Portfolio 12m ECL", "Portfolio Lifetime ECL",
@@ -69,9 +66,27 @@ def stage_mix(df: DataFrame, stage_col: str = "stage", out_col: str | None = Non
                                     share.alias("share")), out_col or stage_col)
 
 
+def stage_mix_migration(df: DataFrame, base_col: str = "stage_ifrs9",
+                        stressed_col: str = "stage_ifrs9_stressed") -> DataFrame:
+    """A3 for two stagings of one book: ``scenario, stage_ifrs9, loans, share``.
+
+    One aggregate by (base, stressed) stage, at most 16 rows, which are then unfolded;
+    the loans themselves are not.
+    """
+    require_columns(df, base_col, stressed_col)
+    moved = df.groupBy(base_col, stressed_col).agg(F.count(F.lit(1)).alias("n"))
+    sides = F.array(*[F.struct(F.lit(name).alias("scenario"), F.col(c).alias("stage_ifrs9"))
+                      for name, c in (("base", base_col), ("stressed", stressed_col))])
+    long = moved.select("n", F.inline(sides)).where(F.col("stage_ifrs9").isNotNull())
+    counts = long.groupBy("scenario", "stage_ifrs9").agg(F.sum("n").alias("loans"))
+    share = F.col("loans") / F.sum("loans").over(Window.partitionBy("scenario"))
+    return sort_small(counts.withColumn("share", share), "scenario", "stage_ifrs9")
+
+
 def stage3_rate(df: DataFrame, stage_col: str = "stage_ifrs9") -> DataFrame:
-    """A4 — share of loans in stage 3 (booleans cast before averaging)."""
-    return df.agg(F.avg((F.col(stage_col) == 3).cast("double")).alias("stage3_rate"))
+    """A4 — share of all loans in stage 3; a loan without a stage is not in stage 3."""
+    in_3 = F.coalesce(F.col(stage_col) == 3, F.lit(False))
+    return df.agg(F.avg(in_3.cast("double")).alias("stage3_rate"))
 
 
 def stage_ecl(df: DataFrame, stage_col: str = "stage_ifrs9") -> DataFrame:
@@ -135,57 +150,28 @@ def describe(df: DataFrame, cols: list[str], *, probs=(0.25, 0.5, 0.75), approx_
              buckets: int | None = None) -> DataFrame:
     """A11 — count, mean, std (n−1), min, quartiles (linear), max per column; NULL/NaN ignored.
 
-    Output rows: ``variable, count, mean, std, min, p25, p50, p75, max``.
-    Exact by default: the loans are reduced once to a checkpointed
-    (variable, value, count) table, and moments and quartiles are read from it
-    (see ``ordered``). ``approx_accuracy`` switches to one streaming pass with
-    ``percentile_approx`` instead (bounded memory, no checkpoint).
+    Output rows: ``variable, count, mean, std, min, p25, p50, p75, max``. One wide
+    aggregate gives the moments, without unfolding the columns to rows; quartiles
+    are exact (``ordered.exact_quantiles``) unless ``approx_accuracy`` asks for
+    ``percentile_approx`` in the same single pass.
     """
-    names = {p: f"p{int(round(p * 100))}" for p in probs}
-    if approx_accuracy:
-        long = long_values(df, cols).where(F.col("v").isNotNull() & ~F.isnan("v"))
-        out = long.groupBy("variable").agg(
-            F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"),
-            F.percentile_approx("v", list(probs), approx_accuracy).alias("_q"))
-        return out.select("variable", "count", "mean", "std", "min",
-                          *[F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)], "max")
-    vc = checkpointed(value_counts(long_values(df, cols), "variable", "v"))
-    stats = {r["variable"]: r for r in vc.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("N"),
-        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max")).collect()}
-    if not stats:
-        return df.sparkSession.createDataFrame(
-            [], "variable string, count double, mean double, std double, min double, "
-                + ", ".join(f"{names[p]} double" for p in probs) + ", max double")
-    mean_of = F.lit(None).cast("double")
-    for var, r in stats.items():
-        mean_of = F.when(F.col("variable") == F.lit(var), F.lit(r["mean"])).otherwise(mean_of)
-    small = [v for v, r in stats.items() if r["distinct"] <= MAX_EXACT_DISTINCT]
-    large = [v for v in stats if v not in small]
-    # second moment about the mean (two-pass, stable) and, for groups with a bounded number of
-    # distinct values, the exact percentile (value → count map of at most MAX_EXACT_DISTINCT entries)
-    aggs = [F.sum(F.col("n") * (F.col("v") - mean_of) * (F.col("v") - mean_of)).alias("_m2")]
-    if small:
-        aggs.append(F.percentile(F.when(F.col("variable").isin(small), F.col("v")),
-                                 F.array(*[F.lit(float(p)) for p in probs]), F.col("n")).alias("_q"))
-    final = vc.groupBy("variable").agg(*aggs)
-    qcols = [F.col("_q")[i].alias(names[p]) for i, p in enumerate(probs)] if small else \
-        [F.lit(None).cast("double").alias(names[p]) for p in probs]
-    final = final.select("variable", "_m2", *qcols)
-    if large:
-        ql = quantiles_from_counts(vc.where(F.col("variable").isin(large)), probs, buckets=buckets)
-        qw = ql.groupBy("variable").agg(*[
-            F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(f"_l_{names[p]}") for p in probs])
-        final = final.join(qw, "variable", "left").select(
-            "variable", "_m2", *[F.coalesce(names[p], f"_l_{names[p]}").alias(names[p]) for p in probs])
-    moments = df.sparkSession.createDataFrame(
-        [(v, float(r["N"]), float(r["mean"]), float(r["min"]), float(r["max"])) for v, r in stats.items()],
-        "variable string, count double, mean double, min double, max double")
-    out = final.join(F.broadcast(moments), "variable")
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - F.lit(1.0))))
-    return out.select("variable", "count", "mean", std.alias("std"), "min", *[names[p] for p in probs], "max")
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    values = df.select(*[number(c).alias(c) for c in cols])
+    aggs = []
+    for c in cols:
+        aggs += [F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
+                 F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+        if approx_accuracy:
+            aggs.append(F.percentile_approx(c, list(probs), approx_accuracy).alias(f"q_{c}"))
+    row = values.agg(*aggs).first()
+    counts = {c: row[f"n_{c}"] for c in cols}
+    quantiles = {c: row[f"q_{c}"] for c in cols} if approx_accuracy else \
+        exact_quantiles(df, cols, probs, counts=counts, buckets=buckets)
+    out = [(c, float(counts[c]), row[f"mean_{c}"], row[f"std_{c}"] if counts[c] > 1 else None, row[f"min_{c}"],
+            *quantiles[c], row[f"max_{c}"]) for c in cols if counts[c]]
+    return df.sparkSession.createDataFrame(
+        out, "variable string, count double, mean double, std double, min double, "
+             + ", ".join(f"{n} double" for n in names) + ", max double")
 
 
 def shape(df: DataFrame) -> DataFrame:

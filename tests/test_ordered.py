@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditspark.operators import backtest, reports
-from creditspark.operators.ordered import exact_quantiles
+from creditspark.operators.ordered import exact_quantiles, exact_ranks
 
 
 def brute_auc(scores, labels):
@@ -21,11 +21,24 @@ def test_exact_quantiles_vs_numpy(spark, buckets):
     x = np.concatenate([rng.normal(size=400), np.full(300, 0.25), rng.integers(0, 5, 200).astype(float)])
     y = rng.exponential(size=x.size)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    got = {(r["variable"], r["prob"]): r["value"]
-           for r in exact_quantiles(df, ["x", "y"], (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0), buckets=buckets).collect()}
+    probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0)
+    got = exact_quantiles(df, ["x", "y"], probs, buckets=buckets)
     for name, arr in (("x", x), ("y", y)):
-        for p in (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0):
-            assert got[(name, p)] == pytest.approx(float(np.quantile(arr, p)), rel=1e-12, abs=1e-12)
+        for p, value in zip(probs, got[name], strict=True):
+            assert value == pytest.approx(float(np.quantile(arr, p)), rel=1e-12, abs=1e-12)
+
+
+def test_ranks_are_exact_when_brackets_are_coarse(spark):
+    """With accuracy 20 a bracket holds a fifth of the rows, and some miss their rank at first."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=5000), 2)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(7)
+    df = df.unionByName(spark.createDataFrame([(None,), (float("nan"),)], "x double"))
+    ks = [0, 1, 2499, 2500, 4321, 4999]
+    got = exact_ranks(df, {"x": "x"}, {"x": ks}, {"x": 5000}, accuracy=20)["x"]
+    assert got == {k: np.sort(x)[k] for k in ks}
+    assert exact_ranks(df, {"x": "x"}, {"x": [5000, -1]}, {"x": 5000})["x"] == {}
+    assert exact_quantiles(df.where("x > 99"), ["x"]) == {"x": [None] * 3}
 
 
 def test_describe_matches_pandas(spark):
@@ -74,21 +87,28 @@ def test_stage_mix_shares_sum_to_one(spark):
     assert rows[0]["share"] == pytest.approx(0.5)
 
 
-def test_describe_bucketed_path_matches_pandas(spark, monkeypatch):
-    monkeypatch.setattr(reports, "MAX_EXACT_DISTINCT", 0)
-    rng = np.random.default_rng(5)
-    vals = np.concatenate([rng.normal(size=300), np.full(200, 1.5)])
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    r = reports.describe(df, ["v"], buckets=5).first()
-    assert r["std"] == pytest.approx(vals.std(ddof=1), rel=1e-10)
-    for p, col in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
-        assert r[col] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+def test_describe_leaves_out_null_and_nan(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (None, None), (float("nan"), None)], "v double, w double")
+    r = reports.describe(df, ["v", "w"]).collect()
+    assert [tuple(x) for x in r] == [("v", 2.0, 1.5, pytest.approx(0.5**0.5), 1.0, 1.25, 1.5, 1.75, 2.0)]
 
 
-def test_auc_bucketed_path(spark, monkeypatch):
-    monkeypatch.setattr(backtest, "MAX_SINGLE_TASK_SCORES", 0)
-    rng = np.random.default_rng(13)
-    s = np.round(rng.uniform(size=200), 3)
-    y = (rng.uniform(size=200) < s).astype(int)
-    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "s double, y int")
-    assert backtest.auc(df, "s", "y", buckets=6).first()["auc"] == pytest.approx(brute_auc(s, y), rel=1e-12)
+def test_auc_rejects_what_it_cannot_rank(spark):
+    df = spark.createDataFrame([(0.5, 1), (float("nan"), 0)], "s double, y int")
+    with pytest.raises(ValueError, match="NaN"):
+        backtest.auc(df, "s", "y")
+    for y in (0, 1):
+        with pytest.raises(ValueError, match="both classes"):
+            backtest.auc(spark.createDataFrame([(0.5, y), (0.7, y)], "s double, y int"), "s", "y")
+
+
+def test_stage3_rate_counts_loans_without_stage(spark):
+    df = spark.createDataFrame([(3,), (1,), (None,), (None,)], "stage_ifrs9 int")
+    assert reports.stage3_rate(df).first()[0] == 0.25
+
+
+def test_stage_mix_migration(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, None), (None, 3)], "stage_ifrs9 int, stage_ifrs9_stressed int")
+    got = {(r.scenario, r.stage_ifrs9): (r.loans, r.share) for r in reports.stage_mix_migration(df).collect()}
+    assert got == {("base", 1): (2, 0.5), ("base", 2): (1, 0.25), ("base", 3): (1, 0.25),
+                   ("stressed", 1): (1, 0.25), ("stressed", 2): (2, 0.5), ("stressed", 3): (1, 0.25)}
