@@ -1,7 +1,7 @@
 """C1–C4, J4 — operators driven by the mapping spec and the variable catalogue.
 
-Specs are small (tens of rows); they are size-checked and brought to the driver
-only to build one ``select`` — the data itself never leaves the executors.
+A spec has one row per column of a table; its rows are brought to the driver to
+build one ``select`` — the data itself never leaves the executors.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_SPEC_ROWS = 10_000
-
 # ---- fixed values: spec field-type names → Spark SQL types ----
 TYPE_NAMES = {"string": "string", "int": "int", "integer": "int", "bigint": "bigint", "long": "bigint",
               "double": "double", "float": "double", "decimal": "decimal(38,10)", "date": "date",
@@ -28,10 +26,7 @@ def _spec_rows(spec: DataFrame, source_table: str | None) -> list:
     rows = spec.where(F.coalesce(F.col("MODELLED"), F.lit(False)))
     if source_table is not None:
         rows = rows.where(F.col("SOURCE_TABLENAME_AWS") == source_table)
-    out = rows.limit(MAX_SPEC_ROWS + 1).collect()
-    if len(out) > MAX_SPEC_ROWS:
-        raise ValueError(f"mapping spec has more than {MAX_SPEC_ROWS} rows")
-    return sorted(out, key=lambda r: (r["_metadata"]["row_number"] if r["_metadata"] else 0))
+    return sorted(rows.collect(), key=lambda r: (r["_metadata"]["row_number"] if r["_metadata"] else 0))
 
 
 def direct_mapping(df: DataFrame, spec: DataFrame, source_table: str | None = None) -> DataFrame:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 100_000
+BAND_BLOCK = 10_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -21,9 +23,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def lookup_macro_at_booking(loans: DataFrame, macro: DataFrame, *, month_col: str = "booking_month",
                             macro_month_col: str = "month",
                             mapping: dict | None = None, strict: bool = True,
-                            max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                            max_rows: int = DEFAULT_BROADCAST_ROWS, limits: tuple | None = None) -> DataFrame:
     """J1 — attach macro values at each loan's booking month (many-to-one).
 
+    ``limits`` (first and last month of the macro table) look up months outside at the nearest end.
+
     ``strict`` reproduces an index lookup: duplicate months are rejected up
     front (the macro table is small), and a loan whose month is missing fails
     the query at run time through ``assert_true`` instead of getting NULLs.
@@ -38,7 +42,11 @@ def lookup_macro_at_booking(loans: DataFrame, macro: DataFrame, *, month_col: st
         if dup:
             raise ValueError("macro table has duplicate months")
     side, _ = broadcast_if_small(m, max_rows)
-    out = loans.join(side, loans[month_col] == side["_m_key"], "left")
+    month = loans[month_col]
+    if limits:
+        inside = F.least(F.greatest(month, F.lit(limits[0])), F.lit(limits[1]))
+        month = F.when(month.isNotNull(), inside)
+    out = loans.join(side, month == side["_m_key"], "left")
     if strict:
         out = out.withColumn("_m_hit", F.assert_true(F.col("_m_hit").isNotNull(),
                                                      F.lit("booking month missing from macro table")))
@@ -47,18 +55,41 @@ def lookup_macro_at_booking(loans: DataFrame, macro: DataFrame, *, month_col: st
 
 
 def band_join(df: DataFrame, bands: DataFrame, value_col: str, *, lo_col: str = "lo", hi_col: str = "hi",
-              max_rows: int = 10_000) -> DataFrame:
-    """J3 — range lookup ``lo <= value < hi`` against a small band table.
+              block: int = BAND_BLOCK) -> DataFrame:
+    """J3 — range lookup ``lo <= value < hi`` against a table of bands that do not overlap.
 
-    The band table is broadcast after a size check; each loan is compared with
-    at most ``max_rows`` bands (a broadcast nested-loop join with a range
-    condition), never paired with another loan.
+    NULL bounds are open ends. The bounds cut the number line into intervals; a
+    binary search (``Bucketizer``) gives each value its interval, and a broadcast
+    hash join on the interval's number fetches the band. Band tables of more than
+    ``block`` rows are joined in blocks of that many, so each broadcast is bounded.
+    A value in no band (or NULL) gets NULLs.
     """
-    n = bands.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"band table has more than {max_rows} rows")
-    b = F.broadcast(bands)
-    v = df[value_col]
-    lo_ok = b[lo_col].isNull() | (v >= b[lo_col])
-    hi_ok = b[hi_col].isNull() | (v < b[hi_col])
-    return df.join(b, lo_ok & hi_ok, "left")
+    from pyspark.ml.feature import Bucketizer
+
+    inf = float("inf")
+    rows = sorted(bands.collect(), key=lambda r: -inf if r[lo_col] is None else r[lo_col])
+    span = [(-inf if r[lo_col] is None else float(r[lo_col]), inf if r[hi_col] is None else float(r[hi_col])) for r in rows]
+    for (_, hi), (lo, _) in zip(span, span[1:]):
+        if lo < hi:
+            raise ValueError("bands overlap")
+    out, spark = df, df.sparkSession
+    fields = [f for f in bands.schema.fields]
+    value = F.when(~F.isnan(F.col(value_col).cast("double")), F.col(value_col).cast("double"))
+    out = out.withColumn("_v", value)
+    for at in range(0, max(len(rows), 1), block):
+        part = range(at, min(at + block, len(rows)))
+        cuts = sorted({x for i in part for x in span[i] if abs(x) != inf})
+        place = {x: k for k, x in enumerate([-inf, *cuts, inf])}
+        data = [(place[span[i][0]], *rows[i]) for i in part if span[i][0] < span[i][1]]
+        side = spark.createDataFrame(data, T.StructType([T.StructField("_i", T.IntegerType()), *[
+            T.StructField(f"_b_{f.name}", f.dataType) for f in fields]]))
+        if cuts:
+            found = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_v", outputCol="_at", handleInvalid="keep")
+            out = found.transform(out).withColumn("_at", F.when(F.col("_v").isNotNull(), F.col("_at").cast("int")))
+        else:
+            out = out.withColumn("_at", F.when(F.col("_v").isNotNull(), F.lit(0)))
+        out = out.join(F.broadcast(side), F.col("_at") == F.col("_i"), "left").drop("_at", "_i")
+        out = out.select(*[c for c in out.columns if not c.startswith("_b_") and c not in bands.columns], *[
+            (F.coalesce(F.col(f.name), F.col(f"_b_{f.name}")) if at else F.col(f"_b_{f.name}")).alias(f.name)
+            for f in fields])
+    return out.drop("_v")

@@ -80,12 +80,16 @@ def current_pd(df: DataFrame, *, factor_col: str = "pd_mult", base_col: str = "p
 
 def simulate_default(df: DataFrame, *, pd_col: str = "pd_12m", draw_col: str = "default_draw",
                      scale: float = 1.0, cap: float | None = None, out: str = "default_12m") -> DataFrame:
-    """D2 — default outcome 1 when the keyed draw falls below ``min(scale·pd, cap)``."""
+    """D2 — default outcome 1 when the keyed draw falls below ``min(scale·pd, cap)``.
+
+    A NULL or NaN PD gives 0 (``least`` alone would skip the NULL and default at ``cap``).
+    """
     require_columns(df, pd_col, draw_col)
-    p = f"{X.ident(pd_col)} * {X.num(scale)}" if scale != 1.0 else X.ident(pd_col)
+    pd, draw = X.ident(pd_col), X.ident(draw_col)
+    hit = f"{draw} < {pd} * {X.num(scale)}" if scale != 1.0 else f"{draw} < {pd}"
     if cap is not None:
-        p = f"least({p}, {X.num(cap)})"
-    return with_exprs(df, {out: X.flag(f"{X.ident(draw_col)} < {p}")})
+        hit += f" AND {draw} < {X.num(cap)}"
+    return with_exprs(df, {out: X.flag(f"{hit} AND NOT isnan({pd})")})
 
 
 def pd_ratio_and_flags(df: DataFrame, *, pd_col: str = "pd_12m", base_col: str = "pd_12m_origination",

@@ -25,15 +25,12 @@ def shock_macro(macro: DataFrame, *, unemp_shock: float = UNEMP_SHOCK, gdp_shock
     })
 
 
-def stress_additive(df: DataFrame, snapshot: Mapping[str, float], *, unemp_shock: float = UNEMP_SHOCK,
-                    gdp_shock: float = GDP_SHOCK) -> DataFrame:
-    """M8 — re-score the PIT PD at the shocked last snapshot; stressed 12m ECL.
+def stress_additive(df: DataFrame, shocked: Mapping[str, float]) -> DataFrame:
+    """M8 — re-score the PIT PD at a shocked last snapshot (of ``shock_macro``'s table); stressed 12m ECL.
 
     Stage, lifetime PD and lifetime ECL are left as they are.
     """
     require_columns(df, "ead", "lgd")
-    shocked = {"unemployment_rate": snapshot["unemployment_rate"] + unemp_shock,
-               "gdp_growth": snapshot["gdp_growth"] + gdp_shock}
     df = with_exprs(df, {"pd_12m_stressed": X.sigmoid(X.linear_score(PIT_INTERCEPT, PIT_TERMS, shocked), LOGIT_BOUND)})
     return with_exprs(df, {"ecl_12m_stressed": "ead * lgd * pd_12m_stressed"})
 

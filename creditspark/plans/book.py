@@ -16,10 +16,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.core import pushdown_barrier
 from ..operators import capital, risk, staging, stress
 from ..operators.joins import lookup_macro_at_booking
 from ..sources.loan_tape import BookCalendar, read_loan_tape, with_draws
 from ..sources.macro import book_macro, ramp_scenario, snapshot
+from ..sources.tables import read_table
 
 
 @dataclass
@@ -46,6 +48,14 @@ class Book:
             self._cache["snap"] = snapshot(self.macro(), "month")
         return self._cache["snap"]
 
+    def shocked_snapshot(self) -> dict:
+        """Last month of the macro table with the parallel shock added (M7)."""
+        if "shocked" not in self._cache:
+            row = snapshot(stress.shock_macro(self.macro()), "month",
+                           ("unemployment_rate_stressed", "gdp_growth_stressed"))
+            self._cache["shocked"] = {k.removesuffix("_stressed"): v for k, v in row.items()}
+        return self._cache["shocked"]
+
     def ramp_snapshot(self) -> dict:
         if "ramp" not in self._cache:
             self._cache["ramp"] = snapshot(ramp_scenario(self.spark), "date")
@@ -59,7 +69,11 @@ class Book:
 
     # ---- part A -----------------------------------------------------------
     def tape_with_macro(self) -> DataFrame:
-        return self._plan("tape_macro", lambda: lookup_macro_at_booking(self.tape, self.macro()))
+        ends = (self.calendar.first_month, self.calendar.last_month)
+        return self._plan("tape_macro", lambda: lookup_macro_at_booking(self.tape, self.macro(), limits=ends))
+
+    def sources(self) -> tuple[DataFrame, DataFrame]:
+        return read_table(self.spark, self.sf_dir, "orders"), read_table(self.spark, self.sf_dir, "customer")
 
     def part_a(self, lgd_noise_sd: float = 0.0) -> DataFrame:
         return self._plan(("part_a", lgd_noise_sd), lambda: self._part_a(lgd_noise_sd))
@@ -74,7 +88,7 @@ class Book:
         return staging.stage_by_pd_band(df)
 
     def part_a_stressed(self) -> DataFrame:
-        return self._plan("part_a_stressed", lambda: stress.stress_additive(self.part_a(), self.macro_snapshot()))
+        return self._plan("part_a_stressed", lambda: stress.stress_additive(self.part_a(), self.shocked_snapshot()))
 
     # ---- part B -----------------------------------------------------------
     def part_b(self, **stage_params) -> DataFrame:
@@ -103,4 +117,5 @@ class Book:
 
     def irb(self, **kw) -> DataFrame:
         # not memoised: each call gets its own observation (pushdown barrier) name
-        return capital.basel_irb(self.part_b(), **kw)
+        # a barrier before it as well: the book and the IRB formula are two generated stages, each JIT-sized
+        return capital.basel_irb(pushdown_barrier(self.part_b(), "irb_input"), **kw)

@@ -1,17 +1,20 @@
-"""Write the scored loan book once, then report from the written table.
+"""Write the scored loan book once, then report from the written tables.
 
-At scale the loan-grain work — one shuffle join of orders to customers and every
-per-loan formula — should run once per reporting date. ``write_book`` stores:
+At scale the shuffle join of orders to customers should run once per reporting
+date. ``write_book`` runs it once, into a narrow table, and scores from that:
 
+* ``tape``: every loan with its borrower attributes (the only join of the book);
 * ``part_a``: PIT PD, default, LGD, EAD, 12m / lifetime ECL, PD-band stage;
 * ``part_bc``: origination / current PD, flags, SICR stage, ECL, multiplicative
   stress and re-staging, standardised and IRB capital;
 
-as Parquet under a shared path, partitioned by ``booking_year`` (vintage
-reports and filters prune whole directories). ``read_book`` returns the two
-tables; every summary in ``operators.reports`` / ``capital`` runs on them as a
-scan plus a partial→final aggregate. This is also the lineage cut: a lost
-executor re-reads files instead of re-running the join.
+as Parquet under a shared path, partitioned by reporting date and booking year.
+Rows are rebalanced by booking year before they are written, so a year is a few
+files of a good size (Spark splits large years). A reporting date that is written
+again replaces its own partitions and no others; a lost executor re-reads files
+instead of re-running the join. ``read_book`` returns the two scored tables;
+every summary in ``operators.reports`` / ``capital`` runs on them as a scan plus
+a partial→final aggregate, and filters on year or date prune whole directories.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import capital
 from .book import Book
@@ -28,17 +32,35 @@ def _join(path: str, name: str) -> str:
     return path.rstrip("/") + "/" + name if "://" in path else os.path.join(path, name)
 
 
-def write_book(book: Book, path: str, *, mode: str = "overwrite") -> dict[str, str]:
-    """Score the book and write both parts; returns the two table paths."""
-    out = {"part_a": _join(path, "part_a"), "part_bc": _join(path, "part_bc")}
-    part_a = book.part_a().drop("default_draw", "ead_factor")
-    part_bc = capital.basel_standardised(capital.basel_irb(book.part_b_stressed()))
+def _write(df: DataFrame, path: str, reporting_date: str) -> None:
+    out = df.withColumn("reporting_date", F.lit(reporting_date)).hint("rebalance", "booking_year")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("reporting_date", "booking_year").parquet(path))
+
+
+def _read(spark: SparkSession, path: str, reporting_date: str | None) -> DataFrame:
+    out = spark.read.parquet(path)
+    out = out.withColumn("reporting_date", F.col("reporting_date").cast("string"))
+    return out if reporting_date is None else out.where(F.col("reporting_date") == reporting_date)
+
+
+def write_book(book: Book, path: str, reporting_date: str) -> dict[str, str]:
+    """Score the book and write its tables; returns their paths.
+
+    ``reporting_date`` is an ISO date; it names the partition that is replaced.
+    """
+    out = {name: _join(path, name) for name in ("tape", "part_a", "part_bc")}
+    _write(book.tape, out["tape"], reporting_date)
+    tape = _read(book.spark, out["tape"], reporting_date).select(*book.tape.columns)
+    stored = Book(book.spark, book.sf_dir, book.calendar, tape)
+    part_a = stored.part_a().drop("default_draw", "ead_factor")
+    part_bc = capital.basel_standardised(capital.basel_irb(stored.part_b_stressed()))
     part_bc = part_bc.drop("default_draw", "ead_factor", "pd_mult", "life_mult")
-    for name, df in (("part_a", part_a), ("part_bc", part_bc)):
-        df.write.mode(mode).partitionBy("booking_year").parquet(out[name])
+    _write(part_a, out["part_a"], reporting_date)
+    _write(part_bc, out["part_bc"], reporting_date)
     return out
 
 
-def read_book(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The written ``part_a`` and ``part_bc`` tables."""
-    return spark.read.parquet(_join(path, "part_a")), spark.read.parquet(_join(path, "part_bc"))
+def read_book(spark: SparkSession, path: str, reporting_date: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The written ``part_a`` and ``part_bc`` tables, of one reporting date or of all."""
+    return tuple(_read(spark, _join(path, name), reporting_date) for name in ("part_a", "part_bc"))

@@ -1,10 +1,11 @@
 """DuckDB SQL for every registered query with an SQL equivalent.
 
-The SQL re-states each formula independently of the Spark plan (CTEs over the
-pre-registered ``orders`` and ``customer`` views), using the same fixed
-constants. Doubles are rounded to 4 places exactly as ``registry.present`` does.
-Queries without an entry here (the logistic-regression back-test) get a
-rows-only check.
+The SQL re-states each formula apart from the Spark plan (CTEs over the
+pre-registered ``orders`` and ``customer`` views). Coefficients, bands and salts
+are those of the code under test; the tests hold them against values typed in
+from the model's definition (``tests/test_anchors.py``). Doubles are rounded as
+``registry.present`` does, money to 4 places and ratios to 9. Queries without an
+entry here (the fitted back-test) get a rows-only check.
 """
 
 from __future__ import annotations
@@ -12,11 +13,13 @@ from __future__ import annotations
 import math
 
 from ..operators import capital, risk, staging, stress
-from ..operators.backtest import SPLIT_SALT, TEST_SIZE
+from ..operators.backtest import CHAMPION_BOUND, CHAMPION_INTERCEPT, CHAMPION_TERMS, SPLIT_SALT, TEST_SIZE
+from ..operators.reports import KPI_LABELS
 from ..sources import macro as M
-from ..sources.loan_tape import SALT, TERM_CHOICES, TERM_WEIGHTS
+from ..sources.loan_tape import SALT, TERM_CHOICES, TERM_CHOICES_A, TERM_WEIGHTS
+from ..sources.sinks import FINAL_COLS
 from ..functions import gaussian as N
-from .registry import ALT_SICR, DESCRIBE_COLS
+from .registry import ALT_SICR, DESCRIBE_COLS, MONEY_PLACES, RATIO_PLACES, places
 
 
 def d(x: float) -> str:
@@ -38,8 +41,8 @@ def U(salt, key: str = "loan_id") -> str:
     return f"(CAST(CAST(('0x' || substr({h}, {1 + 8 * part}, 8)) AS BIGINT) AS DOUBLE) / {d(4294967296.0)})"
 
 
-def sigmoid(z: str) -> str:
-    return f"({d(1.0)} / ({d(1.0)} + exp(-({clip(z, -risk.LOGIT_BOUND, risk.LOGIT_BOUND)}))))"
+def sigmoid(z: str, bound: float = risk.LOGIT_BOUND) -> str:
+    return f"({d(1.0)} / ({d(1.0)} + exp(-({clip(z, -bound, bound)}))))"
 
 
 def score(intercept: float, terms, values: dict[str, str]) -> str:
@@ -56,7 +59,7 @@ def score(intercept: float, terms, values: dict[str, str]) -> str:
 
 
 def rnd(x: str, alias: str) -> str:
-    return f"(round({x}, 4) + {d(0.0)}) AS {alias}"
+    return f"(round({x}, {places(alias)}) + {d(0.0)}) AS {alias}"
 
 
 def horner_low(x: str, coefs) -> str:
@@ -98,13 +101,13 @@ def cdf_sql(x: str) -> str:
     return f"(CASE WHEN {x} > 0 THEN {d(1.0)} - {lower} ELSE {lower} END)"
 
 
-def _term_case() -> str:
+def _term_case(choices=TERM_CHOICES) -> str:
     total = float(sum(TERM_WEIGHTS))
     acc, parts = 0.0, []
-    for v, w in zip(TERM_CHOICES[:-1], TERM_WEIGHTS[:-1]):
+    for v, w in zip(choices[:-1], TERM_WEIGHTS[:-1]):
         acc += float(w) / total
         parts.append(f"WHEN {U(SALT['term_months'])} < {d(acc)} THEN {v}")
-    return f"CAST(CASE {' '.join(parts)} ELSE {TERM_CHOICES[-1]} END AS INTEGER)"
+    return f"CAST(CASE {' '.join(parts)} ELSE {choices[-1]} END AS INTEGER)"
 
 
 def _stage_sicr(pd: str, ratio: str, dflt: str, dpd30: str, dpd90: str, *, pd_ratio_threshold=staging.SICR_PD_RATIO,
@@ -128,6 +131,8 @@ _PIT_STRESSED = {"unemployment_rate": f"(s.unemployment_rate + {d(stress.UNEMP_S
 _FIRST_BAND, _SECOND_BAND = staging.PD_BANDS
 
 CTES: dict[str, tuple[list[str], str]] = {}
+#: Stages that are computed once: inlined, the nested normal functions take minutes to plan.
+MATERIALIZED = {"irb1", "irb2", "irb3", "z"}
 
 
 def cte(name: str, deps: list[str], body: str) -> None:
@@ -157,7 +162,7 @@ cte("tape", ["cal"], f"""
          {clip(f"o.o_totalprice / {d(5.0)}", 10000.0, 100000.0)} AS loan_amount,
          {_term_case().replace('loan_id', 'o.o_orderkey')} AS term_months,
          {d(5.0)} + {d(19.0)} * {U(SALT['interest_rate'], 'o.o_orderkey')} AS interest_rate
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey CROSS JOIN cal""")
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey CROSS JOIN cal""")
 
 cte("ids", ["cal"], "SELECT unnest(generate_series(0, n_months - 1)) AS i, first_month, n_months FROM cal")
 
@@ -184,8 +189,9 @@ cte("mac", ["mac1"], f"""
 
 cte("snap", ["mac"], "SELECT unemployment_rate, gdp_growth FROM mac ORDER BY month DESC LIMIT 1")
 
-cte("tapem", ["tape", "mac"], """
-  SELECT t.*, m.unemployment_rate AS booking_unemp, m.gdp_growth AS booking_gdp_growth,
+cte("tapem", ["tape", "mac"], f"""
+  SELECT t.* REPLACE ({_term_case(TERM_CHOICES_A).replace('loan_id', 't.loan_id')} AS term_months),
+         m.unemployment_rate AS booking_unemp, m.gdp_growth AS booking_gdp_growth,
          m.house_price_index AS booking_hpi
   FROM tape t JOIN mac m ON t.booking_month = m.month""")
 
@@ -227,7 +233,7 @@ cte("pb1", ["pb0"], f"""
   SELECT *, {clip("pd_12m_origination * pd_mult", risk.PD_FLOOR, risk.PD_CAP)} AS pd_12m FROM pb0""")
 
 cte("pb2", ["pb1"], f"""
-  SELECT *, CAST(CASE WHEN default_draw < least(pd_12m * {d(2.0)}, {d(0.5)}) THEN 1 ELSE 0 END AS INTEGER)
+  SELECT *, CAST(CASE WHEN default_draw < least(pd_12m * {d(2.0)}, {d(0.5)}) AND pd_12m IS NOT NULL THEN 1 ELSE 0 END AS INTEGER)
               AS default_12m,
          pd_12m / (CASE WHEN pd_12m_origination = 0 THEN {d(1e-6)} ELSE pd_12m_origination END) AS pd_ratio
   FROM pb1""")
@@ -281,6 +287,9 @@ cte("std", ["pb"], f"""
          ead * ({_RW_CASE}) * {d(capital.CAPITAL_RATIO)} AS capital_required_std
   FROM pb""")
 
+cte("z", ["pb"], f"""
+  SELECT loan_id, pd_12m, {ppf_sql('pd_12m')} AS z_pd FROM pb""")
+
 cte("irb0", ["pb"], f"""
   SELECT *, {clip('pd_12m', *capital.IRB_PD_BOUNDS)} AS ip,
          {clip('lgd', *capital.IRB_LGD_BOUNDS)} AS il,
@@ -321,7 +330,8 @@ def with_ctes(*names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order) + "\n"
+    return "WITH " + ",\n".join(
+        f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({CTES[n][1]}\n)" for n in order) + "\n"
 
 
 def sql(ctes, select: str) -> str:
@@ -346,21 +356,38 @@ def _describe_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
-_FINAL = ["loan_id", "strftime(booking_month, '%Y-%m') AS booking_month", "booking_year", "vintage_index",
-          "age", "annual_income", "credit_score", "employment_years", "dti_ratio", "utilization_ratio",
-          "num_inquiries_12m", "loan_amount", "term_months", "interest_rate", "booking_unemp",
-          "booking_gdp_growth", "booking_hpi", "pd_12m", "pd_lifetime", "default_12m", "lgd", "ead",
-          "realized_loss_12m", "ecl_12m", "ecl_lifetime", "stage"]
-_FINAL_DOUBLES = {"age", "annual_income", "credit_score", "employment_years", "dti_ratio", "utilization_ratio",
-                  "loan_amount", "interest_rate", "booking_unemp", "booking_gdp_growth", "booking_hpi", "pd_12m",
-                  "pd_lifetime", "lgd", "ead", "realized_loss_12m", "ecl_12m", "ecl_lifetime"}
-_FINAL_SELECT = ", ".join(rnd(c, c) if c in _FINAL_DOUBLES else c for c in _FINAL)
+_FINAL = list(FINAL_COLS)
+_FINAL_PLAIN = {"loan_id", "booking_year", "vintage_index", "num_inquiries_12m", "term_months", "default_12m", "stage"}
+_FINAL_SELECT = ", ".join(
+    "strftime(booking_month, '%Y-%m') AS booking_month" if c == "booking_month" else c if c in _FINAL_PLAIN else rnd(c, c)
+    for c in _FINAL)
 
 _STD_SELECT = (f"SELECT loan_id, basel_grade, {rnd('basel_rw', 'basel_rw')}, "
                f"{rnd('rwa_standardised', 'rwa_standardised')}, {rnd('capital_required_std', 'capital_required_std')} "
                f"FROM std")
 
-_SPLIT_U = U(SPLIT_SALT, "(CAST(loan_id AS VARCHAR) || ':' || CAST(default_12m AS VARCHAR))")
+_SPLIT_KEY = f"CAST(('0x' || substr(md5(CAST(loan_id AS VARCHAR) || ':{SPLIT_SALT}'), 1, 13)) AS BIGINT)"
+
+# the test rows of a class: its share of ceil(TEST_SIZE * n), by largest remainder, smallest keys first
+cte("sizes", ["pa"], f"""
+  SELECT default_12m, count(*) AS n_class, sum(count(*)) OVER () AS n,
+         ceil({d(TEST_SIZE)} * sum(count(*)) OVER () - 1e-9) AS n_test FROM pa GROUP BY default_12m""")
+
+cte("parts", ["sizes"], """
+  SELECT *, floor(n_class * n_test / n) AS low, n_class * n_test / n - floor(n_class * n_test / n) AS rest FROM sizes""")
+
+cte("quota", ["parts"], """
+  SELECT default_12m, low + CASE WHEN row_number() OVER (ORDER BY rest DESC, default_12m) <= n_test - sum(low) OVER ()
+                                 THEN 1 ELSE 0 END AS quota FROM parts""")
+
+cte("split", ["pa", "quota"], f"""
+  SELECT p.*, CASE WHEN row_number() OVER (PARTITION BY p.default_12m ORDER BY {_SPLIT_KEY}, loan_id) <= quota
+                   THEN 'test' ELSE 'train' END AS split
+  FROM pa p JOIN quota USING (default_12m)""")
+
+cte("champion", ["split"], f"""
+  SELECT loan_id, default_12m, split, {sigmoid(score(CHAMPION_INTERCEPT, CHAMPION_TERMS, {}), CHAMPION_BOUND)} AS pd_model
+  FROM split""")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -394,13 +421,11 @@ def oracle_sql() -> dict[str, str]:
     q["stage_sicr"] = sql(["pb"], "SELECT loan_id, stage_ifrs9 FROM pb")
     q["stage_sicr_params"] = sql(["pb"], "SELECT loan_id, stage_alt AS stage_ifrs9 FROM pb")
     q["stage3_rate"] = sql(["pb"], f"SELECT {rnd('avg(CAST(stage_ifrs9 = 3 AS DOUBLE))', 'stage3_rate')} FROM pb")
-    q["portfolio_kpis"] = sql(["pa"], (
-        "SELECT kpi, (round(value, 4) + " + d(0.0) + ") AS value FROM ("
-        "SELECT 'Number of loans' AS kpi, CAST(count(*) AS DOUBLE) AS value FROM pa UNION ALL "
-        "SELECT 'Portfolio EAD', coalesce(sum(ead), 0.0) FROM pa UNION ALL "
-        "SELECT 'Portfolio 12m ECL', coalesce(sum(ecl_12m), 0.0) FROM pa UNION ALL "
-        "SELECT 'Portfolio Lifetime ECL', coalesce(sum(ecl_lifetime), 0.0) FROM pa UNION ALL "
-        "SELECT '12m Default Rate', avg(CAST(default_12m AS DOUBLE)) FROM pa)"))
+    kpis = ("CAST(count(*) AS DOUBLE)", "coalesce(sum(ead), 0.0)", "coalesce(sum(ecl_12m), 0.0)",
+            "coalesce(sum(ecl_lifetime), 0.0)", "avg(CAST(default_12m AS DOUBLE))")
+    q["portfolio_kpis"] = sql(["pa"], " UNION ALL ".join(
+        f"SELECT '{label}' AS kpi, (round({x}, {RATIO_PLACES if label == KPI_LABELS[4] else MONEY_PLACES}) + {d(0.0)}) "
+        f"AS value FROM pa" for label, x in zip(KPI_LABELS, kpis, strict=True)))
     q["vintage_stats"] = sql(["pa"], f"SELECT vintage_index, {rnd('avg(pd_12m)', 'avg_pd')}, "
                              f"{rnd('avg(CAST(default_12m AS DOUBLE))', 'default_rate')}, "
                              f"{rnd('avg(ecl_12m)', 'ecl_12m')}, {rnd('avg(booking_unemp)', 'booking_unemp')} "
@@ -445,9 +470,8 @@ def oracle_sql() -> dict[str, str]:
     q["basel_grade_band_join"] = sql(["std"], _STD_SELECT)
     q["basel_std_totals"] = sql(["std"], f"SELECT {rnd('coalesce(sum(rwa_standardised), 0.0)', 'portfolio_rwa')}, "
                                 f"{rnd('coalesce(sum(capital_required_std), 0.0)', 'portfolio_capital')} FROM std")
-    q["norm_functions"] = sql(["pb"], (
-        f"SELECT loan_id, {rnd('pd_12m', 'pd_12m')}, {rnd(ppf_sql('pd_12m'), 'z_pd')}, "
-        f"{rnd(cdf_sql(ppf_sql('pd_12m')), 'cdf_z')} FROM pb"))
+    q["norm_functions"] = sql(["z"], f"SELECT loan_id, {rnd('pd_12m', 'pd_12m')}, {rnd('z_pd', 'z_pd')}, "
+                              f"{rnd(cdf_sql('z_pd'), 'cdf_z')} FROM z")
     q["irb_correlation"] = sql(["irb1"], f"SELECT loan_id, {rnd('rho', 'irb_rho')}, {rnd('bb', 'maturity_b')} FROM irb1")
     q["irb_capital"] = sql(["irb"], (
         f"SELECT loan_id, {rnd('effective_maturity_years', 'effective_maturity_years')}, "
@@ -470,9 +494,20 @@ def oracle_sql() -> dict[str, str]:
         "AS neg_before FROM (SELECT pd_12m AS s, sum(default_12m) AS pos, sum(1 - default_12m) AS neg "
         "FROM pb WHERE pd_12m IS NOT NULL AND default_12m IS NOT NULL GROUP BY pd_12m))"))
     q["brier"] = sql(["pb"], f"SELECT {rnd('avg((pd_12m - CAST(default_12m AS DOUBLE)) * (pd_12m - CAST(default_12m AS DOUBLE)))', 'brier')} FROM pb")
-    q["stratified_split"] = sql(["pa"], (
-        f"SELECT default_12m, CASE WHEN {_SPLIT_U} < {d(TEST_SIZE)} THEN 'test' ELSE 'train' END AS split, "
-        "count(*) AS loans FROM pa GROUP BY 1, 2"))
+    q["stratified_split"] = sql(["split"], "SELECT default_12m, split, count(*) AS loans FROM split GROUP BY 1, 2")
+    q["champion_scores"] = sql(["champion"], f"SELECT loan_id, split, {rnd('pd_model', 'pd_model')} FROM champion")
+    q["champion_metrics"] = sql(["champion"], (
+        f"SELECT n_train, n_test, {rnd('auc', 'auc')}, {rnd('brier', 'brier')} FROM ("
+        "SELECT count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'test') AS n_test, "
+        "avg((pd_model - default_12m) * (pd_model - default_12m)) FILTER (split = 'test') AS brier FROM champion) "
+        "CROSS JOIN (SELECT sum(pos * (coalesce(before, 0) + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc "
+        "FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY pd_model ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before "
+        "FROM (SELECT pd_model, sum(default_12m) AS pos, sum(1 - default_12m) AS neg FROM champion WHERE split = 'test' "
+        "GROUP BY pd_model)))"))
+    q["tape_reconciliation"] = (
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS booking_year, count(*) AS orders, count(c_custkey) AS loans, "
+        "count(*) - count(c_custkey) AS no_customer, count(*) - count(o_orderdate) AS no_date "
+        "FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1")
     q["final_table"] = sql(["pa"], f"SELECT {_FINAL_SELECT} FROM pa")
     q["direct_mapping"] = ("SELECT CAST(o_orderkey AS BIGINT) AS loan_id, CAST(o_custkey AS BIGINT) AS customer_id, "
                            f"{rnd('CAST(o_totalprice AS DOUBLE)', 'order_value')}, "

@@ -2,8 +2,8 @@
 
 Each query reads ``orders`` and ``customer`` (and, for the mapping checks, the
 table the spec names) under ``sf_dir``; its work grows with those tables.
-Doubles are rounded to 4 places at the output edge so results compare across
-engines despite floating-sum order.
+Doubles are rounded at the output edge, money to 4 places and ratios to 9, so
+results compare across engines despite floating-sum order.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import with_norm_cdf, with_norm_ppf
 from ..operators import backtest, capital, catalog, reports, risk
+from ..sources.loan_tape import reconciliation
 from ..sources.sinks import final_table
 from ..sources.specs import read_mapping_spec
 from ..sources.tables import read_table
@@ -31,20 +32,44 @@ ALT_SICR = {"pd_ratio_threshold": 2.0, "abs_pd_threshold": 0.3, "backstop_30dpd"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
-_BOOKS: dict[tuple, Book] = {}
+_BOOKS: dict[tuple, tuple[tuple, Book]] = {}
 
 
-def present(df: DataFrame, scale: int = 4) -> DataFrame:
+#: Columns in money; every other double is a ratio, a rate or a score.
+MONEY = frozenset((
+    "annual_income", "loan_amount", "ead", "ecl_12m", "ecl_lifetime", "ecl_12m_stressed", "realized_loss_12m",
+    "reported_loss_allowance", "reported_loss_allowance_stressed", "total_loss_allowance", "stressed_loss_allowance",
+    "base_ecl", "stressed_ecl", "uplift", "rwa_standardised", "capital_required_std", "portfolio_rwa",
+    "portfolio_capital", "order_value", "rwa_irb", "capital_required_irb", "total_rwa_irb", "total_capital_irb",
+))
+MONEY_PLACES, RATIO_PLACES = 4, 9
+RATE_KPI = reports.KPI_LABELS[4]
+
+
+def places(column: str) -> int:
+    return MONEY_PLACES if column in MONEY else RATIO_PLACES
+
+
+def present(df: DataFrame) -> DataFrame:
     """Round double columns for cross-engine comparison (+0.0 folds −0.0 into 0.0)."""
-    return df.selectExpr(*[f"round(`{f.name}`, {scale}) + 0.0D AS `{f.name}`"
-                           if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`" for f in df.schema.fields])
+    def shown(f: T.StructField) -> str:
+        if not isinstance(f.dataType, T.DoubleType):
+            return f"`{f.name}`"
+        text = f"round(`{f.name}`, {places(f.name)})"
+        if f.name == "value" and "kpi" in df.columns:  # a column of money, but for one rate
+            text = f"CASE WHEN kpi = '{RATE_KPI}' THEN round(value, {RATIO_PLACES}) ELSE round(value, {MONEY_PLACES}) END"
+        return f"{text} + 0.0D AS `{f.name}`"
+
+    return df.selectExpr(*map(shown, df.schema.fields))
 
 
 def book(spark: SparkSession, sf_dir: str) -> Book:
-    k = (id(spark), sf_dir)
-    if k not in _BOOKS:
-        _BOOKS[k] = Book.open(spark, sf_dir)
-    return _BOOKS[k]
+    """The folder's book; kept for as long as the application and the folder's files stay the same."""
+    files = tuple(sorted(read_table(spark, sf_dir, "orders").inputFiles() + read_table(spark, sf_dir, "customer").inputFiles()))
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _BOOKS or _BOOKS[k][0] != files:
+        _BOOKS[k] = (files, Book.open(spark, sf_dir))
+    return _BOOKS[k][1]
 
 
 def query(name: str):
@@ -70,6 +95,12 @@ def _loan_tape(b: Book):
     return b.tape
 
 
+@query("tape_reconciliation")
+def _tape_reconciliation(b: Book):
+    """S1 — orders, loans and orders without customer or date, by booking year."""
+    return reconciliation(*b.sources())
+
+
 @query("macro_path")
 def _macro_path(b: Book):
     """S2, M1–M4, W1 — macro series over the book's calendar."""
@@ -241,15 +272,7 @@ def _stress_multiplier(b: Book):
 @query("stage_mix_stressed")
 def _stage_mix_stressed(b: Book):
     """A3 — base and stressed stage mix from one pass over the book."""
-    df = b.part_b_stressed().select(F.explode(F.array(
-        F.struct(F.lit("base").alias("scenario"), F.col("stage_ifrs9").alias("stage_ifrs9")),
-        F.struct(F.lit("stressed").alias("scenario"), F.col("stage_ifrs9_stressed").alias("stage_ifrs9")),
-    )).alias("s")).select("s.*")
-    counts = df.where(F.col("stage_ifrs9").isNotNull()).groupBy("scenario", "stage_ifrs9") \
-        .agg(F.count(F.lit(1)).alias("loans"))
-    from pyspark.sql import Window
-    share = F.col("loans") / F.sum("loans").over(Window.partitionBy("scenario"))
-    return reports.sort_small(counts.withColumn("share", share), "scenario", "stage_ifrs9")
+    return reports.stage_mix_migration(b.part_b_stressed())
 
 
 @query("stage_ecl_stressed")
@@ -325,7 +348,7 @@ def _irb_by_stage(b: Book):
 
 @query("auc")
 def _auc(b: Book):
-    """K4 — exact ROC AUC of the current PD against the default outcome."""
+    """K4 — exact ROC AUC of the current PD against the default outcome (one plan at every size)."""
     return backtest.auc(b.part_b(), "pd_12m", "default_12m")
 
 
@@ -338,10 +361,22 @@ def _brier(b: Book):
 @query("stratified_split")
 def _stratified_split(b: Book):
     """K1 — class × split counts of the 70/30 split."""
-    return backtest.stratified_split(b.part_a()).groupBy("default_12m", "split") \
+    return backtest.split_table(b.part_a()).groupBy("default_12m", "split") \
         .agg(F.count(F.lit(1)).alias("loans")).transform(reports.sort_small, "default_12m", "split")
 
 
+@query("champion_scores")
+def _champion_scores(b: Book):
+    """K1, K3 — split and score of each loan under the documented coefficient vector."""
+    return backtest.champion_score(backtest.split_table(b.part_a())).select("loan_id", "split", "pd_model")
+
+
+@query("champion_metrics")
+def _champion_metrics(b: Book):
+    """K3–K5 — out-of-sample AUC and Brier score of the documented coefficient vector."""
+    return backtest.metrics(backtest.champion_score(backtest.split_table(b.part_a())))
+
+
 @query("pd_backtest")
 def _pd_backtest(b: Book):
     """K1–K5 — logistic-regression back-test (out-of-sample AUC, Brier)."""

@@ -65,18 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def recommended_conf(input_bytes: int, total_cores: int, *, target_shuffle_partition_bytes: int = 256 << 20,
-                     max_split_bytes: int = 256 << 20) -> dict:
+def recommended_conf(input_bytes: int, total_cores: int, *, target_shuffle_partition_bytes: int = 1 << 30,
+                     max_split_bytes: int = 512 << 20, most_partitions: int = 40_000) -> dict:
     """Shuffle and split sizing for a cluster run (a starting point; AQE coalesces below it).
 
-    Shuffle partitions: enough that each holds ~``target_shuffle_partition_bytes`` of the
-    largest shuffled input (the orders side of the loan-tape join), and at least two
-    waves of tasks over the cluster's cores. Scan splits stay at ``max_split_bytes``.
+    ``input_bytes``: the pruned columns of the largest shuffled input (the orders side of the
+    loan-tape join), not the files. Shuffle partitions hold about ``target_shuffle_partition_bytes``
+    of it, with two waves of tasks over the cluster's cores at least; ``most_partitions`` bounds
+    map tasks x partitions, and with it the driver's table of shuffle blocks (partitions then grow
+    instead, and AQE splits skewed ones).
     """
     parts = max(2 * total_cores, -(-int(input_bytes) // int(target_shuffle_partition_bytes)))
+    parts = min(parts, max(most_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_shuffle_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_shuffle_partition_bytes),
     }

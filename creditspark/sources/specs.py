@@ -51,21 +51,14 @@ CATALOGUE_SCHEMA = T.StructType([
 ])
 
 
-MAX_LOCAL_SPEC_BYTES = 16 << 20
-
-
 def _spec_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a spec file as a ``value`` column.
 
     A plain path that exists on the driver (e.g. a spec shipped inside this
     package) is read on the driver — executors on a cluster cannot see the
-    driver's disk — after a size check; anything else (shared storage URIs) is
-    read by Spark.
+    driver's disk; anything else (shared storage URIs) is read by Spark.
     """
     if "://" not in path and os.path.isfile(path):
-        size = os.path.getsize(path)
-        if size > MAX_LOCAL_SPEC_BYTES:
-            raise ValueError(f"spec file {path} is {size} bytes; put large specs on shared storage")
         with open(path, encoding="utf-8") as fh:
             lines = [(line.rstrip("\n"),) for line in fh]
         return spark.createDataFrame(lines, "value string")

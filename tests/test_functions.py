@@ -27,7 +27,7 @@ def test_pit_pd_anchor(spark):
 
 def test_pit_pd_additive_stress_anchor(spark):
     df = one(spark, **L0, vintage_index=2, ead=1.0, lgd=1.0)
-    got = stress.stress_additive(df, {"unemployment_rate": 5.0, "gdp_growth": 3.0}).first()["pd_12m_stressed"]
+    got = stress.stress_additive(df, {"unemployment_rate": 8.0, "gdp_growth": -1.0}).first()["pd_12m_stressed"]
     assert got == pytest.approx(0.389360766050778, rel=1e-9)
 
 

@@ -24,4 +24,4 @@ def test_recommended_conf_scales():
     small = recommended_conf(10 << 30, 8000)
     big = recommended_conf(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16000
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(big["spark.sql.shuffle.partitions"]) == 40000  # more would sink the driver's block table

@@ -70,6 +70,22 @@ def test_band_join_equals_rule_chain(spark):
     assert a == b
 
 
+def test_band_join_blocks_gaps_and_nulls(spark):
+    from creditspark.operators.joins import band_join
+    bands = spark.createDataFrame([(f"b{i}", float(3 * i), float(3 * i + 2)) for i in range(25)] + [("low", None, -5.0)],
+                                  "name string, lo double, hi double")
+    values = [None, float("nan"), -9.0, -5.0, -1.0, 0.0, 1.99, 2.0, 3.0, 40.5, 73.9, 74.0, 1e9]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    want = [None, None, "low", None, None, "b0", "b0", None, "b1", "b13", "b24", None, None]
+    for block in (4, 10_000):
+        got = band_join(df, bands, "v", block=block)
+        assert [r.name for r in got.orderBy("i").collect()] == want and got.count() == len(values)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    with pytest.raises(ValueError, match="overlap"):
+        band_join(df, spark.createDataFrame([("a", 0.0, 2.0), ("b", 1.0, 3.0)], bands.schema), "v")
+
+
 def test_allowance_rule(spark):
     rows = [(1, 1, 10.0, 0.1, 0.1, 1.0, 3.0), (2, 2, 10.0, 0.1, 0.1, 1.0, 3.0), (3, 3, 10.0, 0.1, 0.1, 1.0, 3.0)]
     df = spark.createDataFrame(rows, "loan_id int, stage_ifrs9 int, ead double, pd_12m double, lgd double, "
