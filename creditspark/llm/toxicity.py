@@ -94,8 +94,8 @@ def _listed(frames: Iterator[pd.DataFrame], known: np.ndarray | None) -> Iterato
     for frame, of, feature in _of_batches(frames):
         of, got = _levels(of, feature)[:2] if vocabulary is None else vocabulary.find(of, feature)
         got = got.view(np.int64) if vocabulary is None else got
-        parts = np.split(got, np.cumsum(np.bincount(of, minlength=len(frame)))[:-1])
-        yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").to_numpy(), "features": parts})
+        parts = np.split(got.astype("<i8"), np.cumsum(np.bincount(of, minlength=len(frame)))[:-1])
+        yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "features": [x.tobytes() for x in parts]})
 
 
 def held_out() -> Column:
@@ -169,10 +169,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     def listed(ids: DataFrame, known: np.ndarray | None) -> list[np.ndarray]:
         rows = texts.join(F.broadcast(ids), "doc_id").mapInPandas(
-            lambda frames: _listed(frames, known), "doc_id long, features array<long>"
+            lambda frames: _listed(frames, known), "doc_id long, features binary"
         )
-        got = sorted(rows.toLocalIterator(), key=lambda r: (r.doc_id, len(r.features)))
-        return [np.array(r.features, np.int64) for r in got]
+        got = sorted(rows.collect(), key=lambda r: (r.doc_id, len(r.features)))  # as many as sampled
+        return [np.frombuffer(r.features, "<i8") for r in got]
 
     p = listed(_sample(may.where("toxic = 1"), MAX_POSITIVE), None)
     if not p:
