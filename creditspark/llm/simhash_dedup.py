@@ -156,8 +156,8 @@ def _signed(mask: int) -> int:
 def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
     """(shard, fp) such that any two fps of ``fps(fp)`` within the radius share a shard.
 
-    Shards of one member are left out. Every turn deals the members of shards beyond the limit anew
-    by the blocks of the bits that their shard leaves free, until at most ``limit`` values can differ.
+    Every turn deals the members of shards beyond the limit anew by the blocks of the bits that their
+    shard leaves free, until at most ``limit`` values can differ.
     """
     spark = fps.sparkSession
     fixed, rows, ready = {0: 0}, fps.select("fp", F.lit(0).alias("path")), None
@@ -174,16 +174,15 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
         dealt = rows.join(F.broadcast(steps), "path").select(
             F.xxhash64("child", F.col("fp").bitwiseAND(F.col("mask"))).alias("shard"), "fp", F.col("child").alias("path")
         )
-        sizes = written(dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"), "shard-sizes")
-        kept = dealt.join(sizes, "shard")
+        sizes = dealt.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+        hot = written(sizes.select("shard"), "hot-shards")
         free = 64 - min(mask.bit_count() for mask in fixed.values())
-        most = sizes.agg(F.max("n")).first()[0] or 0
-        last = most <= limit or 2**free <= limit or free <= radius + 1
-        now = kept if last else kept.where(F.col("n") <= limit)
-        ready = now.select("shard", "fp") if ready is None else ready.unionByName(now.select("shard", "fp"))
+        last = 2**free <= limit or free <= radius + 1 or hot.isEmpty()
+        now = (dealt if last else dealt.join(hot, "shard", "left_anti")).select("shard", "fp")
+        ready = now if ready is None else ready.unionByName(now)
         if last:
             return ready
-        rows = written(kept.where(F.col("n") > limit).select("fp", "path").distinct(), "hot-shards")
+        rows = written(dealt.join(hot, "shard", "left_semi").select("fp", "path").distinct(), "hot-fingerprints")
         fixed = {r.path: fixed[r.path] for r in rows.select("path").distinct().collect()}  # of those in steps
 
 

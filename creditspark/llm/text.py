@@ -71,9 +71,19 @@ class Words:
     """
 
     def __init__(self, texts: list[bytes]):
-        self.buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=at[1:])
+        self._find(b" ".join([*texts, b""]), at)
+
+    @classmethod
+    def of_lines(cls, flat: bytes) -> Words:
+        """Every line of a buffer that ends with a line feed counts as a text."""
+        out = cls.__new__(cls)
+        out._find(flat, np.concatenate([[0], np.flatnonzero(np.frombuffer(flat, np.uint8) == 10) + 1]))
+        return out
+
+    def _find(self, flat: bytes, at: np.ndarray) -> None:
+        self.buf = np.frombuffer(flat, np.uint8)
         space = np.empty(len(self.buf) + 2, bool)
         space[0] = space[-1] = True
         space[1:-1] = SPACE[self.buf]
@@ -81,7 +91,7 @@ class Words:
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, at)
         self.n = np.diff(self.first)
-        self.text_of = np.repeat(np.arange(len(texts)), self.n)
+        self.text_of = np.repeat(np.arange(len(at) - 1), self.n)
 
     @staticmethod
     def counts(flat: bytes, cut: list[int]) -> np.ndarray:

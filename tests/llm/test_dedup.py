@@ -153,7 +153,7 @@ def test_fuzzy_lines_are_found_and_verified(spark):
     line = passage(rng, 40)
     w = line.split()
     rows = [(1, line), (2, line.upper() + "!!"), (3, line.replace(" ", ",  ", 2)), (4, "new\n" + " ".join(w[:20] + ["zz"] + w[20:]))]
-    rows += [(5, " ".join(reversed(w)))]  # the same SimHash, but no similar text
+    rows += [(5, " ".join(reversed(w)))]  # the same words, but no similar text
     got = {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, rows)).collect()}
     assert got == brute.line_groups(rows)
     assert got[2] == got[3] == "" and got[5] == rows[4][1]
