@@ -25,9 +25,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .graph import connected_components
-from .shared import written
+from .shared import text_key, written
 from .text import U, Words, as_bytes, chunks, signed, simhash
 
 SHINGLE, RADIUS = 3, 3
@@ -56,13 +57,14 @@ def _fingerprints(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.D
         texts = [t.lower() for t in as_bytes(frame["text"])]  # of bytes: A-Z only
         got = [simhash(*shingle_hashes(texts[i:j], shingle)) for i, j in chunks(texts)]
         if got:
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "fp": signed(np.concatenate(got))})
+            kept = frame[["doc_id", "version"]].astype("Int64")
+            yield kept.assign(fp=signed(np.concatenate(got)))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each row of ``docs(doc_id, text)``."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInPandas(lambda frames: _fingerprints(frames, shingle), "doc_id long, fp long")
+    """(doc_id, version, fp) for each row of ``docs(doc_id, text)``; version is the crc32 of the text."""
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("version"), "text")
+    return rows.mapInPandas(lambda frames: _fingerprints(frames, shingle), "doc_id long, version long, fp long")
 
 
 class BKTree:
@@ -193,7 +195,7 @@ def fingerprint_groups(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) for each row; component_id is the least doc_id reachable."""
+    """(doc_id, version, fp, component_id) for each row; component_id is the least doc_id reachable."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     nodes = fingerprint_groups(fps.select("fp"), radius).withColumnRenamed("node", "fp")
@@ -201,12 +203,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     least = grouped.groupBy("component").agg(F.min("least").alias("group_least"))
     labels = grouped.join(least, "component").select("fp", "group_least")
     labels = fps.join(labels, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
-    return marked.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return marked.join(labels, "fp").select("doc_id", "version", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents with the least doc_id of their group, one row for each; rows without doc_id stay."""
-    groups = near_duplicates(docs, shingle, radius)
-    winners = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The documents with the least doc_id of their group, one row for each; rows without doc_id stay.
+
+    Of rows that share the winning doc_id, the first by text stays.
+    """
+    winners = near_duplicates(docs, shingle, radius).where("doc_id = component_id")
+    winners = winners.select("doc_id", "version").distinct()
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("version"))
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
+    named = rows.where("doc_id is not null").join(winners, ["doc_id", "version"], "left_semi")
+    kept = named.withColumn("nth", first).where("nth = 1").select("row")
+    return kept.unionByName(rows.where("doc_id is null").select("row")).select("row.*")

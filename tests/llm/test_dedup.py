@@ -88,7 +88,7 @@ def test_simhash_equals_spark_xxhash(spark):
 
 
 def test_simhash_awkward(awkward, awkward_rows, empty):
-    got = [tuple(r) for r in sd.near_duplicates(awkward).collect()]
+    got = [tuple(r) for r in sd.near_duplicates(awkward).drop("version").collect()]
     assert len(got) == len(awkward_rows)
     fps = np.array([brute.fingerprint(t) for _, t in awkward_rows], np.uint64)
     near = lambda i: np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3)
