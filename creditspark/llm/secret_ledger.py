@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -99,10 +100,12 @@ def scan(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def _ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A part of the ledger; empty before the first run."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def scan_versions(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path: str = "doc_id") -> DataFrame:
@@ -117,9 +120,9 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
     seen = _ledger(spark, f"{ledger}/scanned", SCANNED).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
     texts = versions.select(blob_of().alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     todo = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
-    fresh = texts.join(seen, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0)
-    fresh = fresh.select("blob", "text", "todo").dropDuplicates(["blob"])
-    scan(fresh, rules).write.mode("append").parquet(f"{ledger}/findings")
+    once = texts.dropDuplicates(["blob"])  # combined on the map side: many copies are a row for each task
+    fresh = once.join(seen, "blob", "left").withColumn("todo", todo).where(F.size("todo") > 0)
+    scan(fresh.select("blob", "text", "todo"), rules).write.mode("append").parquet(f"{ledger}/findings")
     pairs = refs.select("blob").distinct().join(seen, "blob", "left").select("blob", F.explode(todo).alias("rule"))
     pairs.write.mode("append").parquet(f"{ledger}/scanned")
 

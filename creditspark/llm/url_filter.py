@@ -100,6 +100,14 @@ def _terms(grams: DataFrame) -> DataFrame:
     return model.select("gram", (F.log("p_a") - F.log("p_r")).alias("term"))
 
 
+def _cut(good: float | None, good_spread: float, bad: float | None, bad_spread: float) -> float | None:
+    """Where two normal classes err alike; None if there is no model."""
+    if good is None or bad is None:
+        return None
+    width = good_spread + bad_spread
+    return (good * bad_spread + bad * good_spread) / width if width > 0 else (good + bad) / 2
+
+
 def judged(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
     """(page_id, host, path, rule, score, verdict) for each row of ``pages(page_id, url)``."""
     rows = parsed(pages, rules).withColumn("url", F.concat("host", "path"))
@@ -114,13 +122,8 @@ def judged(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
     sides = scores.agg(*(
         f(F.when(F.col(c) > 0, F.col("score"))).alias(f"{c}_{n}")
         for c in ("accepted", "rejected") for n, f in (("mean", F.avg), ("spread", F.stddev_pop))
-    ))  # one row
-    width = F.col("accepted_spread") + F.col("rejected_spread")
-    cut = F.when(
-        width > 0,
-        (F.col("accepted_mean") * F.col("rejected_spread") + F.col("rejected_mean") * F.col("accepted_spread")) / width,
-    ).otherwise((F.col("accepted_mean") + F.col("rejected_mean")) / 2)
-    out = rows.join(scores.select("url", "score"), "url", "left").crossJoin(F.broadcast(sides.select(cut.alias("cut"))))
-    out = out.withColumn("score", F.coalesce("score", F.lit(0.0)))
-    by_model = F.when(F.col("cut").isNull() | (F.col("score") >= F.col("cut")), "allow").otherwise("block")
+    ))
+    cut = _cut(*sides.select("accepted_mean", "accepted_spread", "rejected_mean", "rejected_spread").first())
+    out = rows.join(scores.select("url", "score"), "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    by_model = F.lit("allow") if cut is None else F.when(F.col("score") >= cut, "allow").otherwise("block")
     return out.select("page_id", "host", "path", "rule", "score", F.coalesce("label", by_model).alias("verdict"))
