@@ -165,7 +165,8 @@ def metrics(scored: DataFrame, score_col: str = "pd_model", *, label_col: str =
     test = F.col("split") == "test"
     sums = scored.agg(F.count(F.when(~test, 1)).alias("n_train"), F.count(F.when(test, 1)).alias("n_test"),
                       F.avg(F.when(test, d * d)).alias("brier"))
-    return auc(scored.where(test), score_col, label_col).crossJoin(sums).select("n_train", "n_test", "auc", "brier")
+    both = auc(scored.where(test), score_col, label_col).unionByName(sums, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("n_train", "n_test", "auc", "brier")])
 
 
 def pd_backtest(df: DataFrame, features=FEATURES, *, label_col: str = "default_12m") -> DataFrame:
