@@ -146,6 +146,15 @@ def stress_totals(df: DataFrame) -> DataFrame:
     return out.withColumn("uplift", F.col("stressed_ecl") - F.col("base_ecl"))
 
 
+def scenario_totals(df: DataFrame, names) -> DataFrame:
+    """A9 per scenario from one aggregate: ``scenario, base_ecl, stressed_ecl, uplift``."""
+    names = list(names)
+    one = df.agg(_sum0("ecl_12m").alias("base_ecl"), *[_sum0(f"ecl_12m_{n}").alias(n) for n in names])
+    rows = F.inline(F.array(*[F.struct(F.lit(n).alias("scenario"), F.col(n).alias("stressed_ecl")) for n in names]))
+    return one.select("base_ecl", rows).select("scenario", "base_ecl", "stressed_ecl",
+                                               (F.col("stressed_ecl") - F.col("base_ecl")).alias("uplift"))
+
+
 def describe(df: DataFrame, cols: list[str], *, probs=(0.25, 0.5, 0.75), approx_accuracy: int | None = None,
              buckets: int | None = None) -> DataFrame:
     """A11 — count, mean, std (n−1), min, quartiles (linear), max per column; NULL/NaN ignored.

@@ -90,6 +90,18 @@ class Book:
     def part_a_stressed(self) -> DataFrame:
         return self._plan("part_a_stressed", lambda: stress.stress_additive(self.part_a(), self.shocked_snapshot()))
 
+    def part_a_scenarios(self) -> DataFrame:
+        """Part A re-scored under every scenario of ``stress.SCENARIOS``."""
+        def build():
+            table = self.macro()
+            shocked = {}
+            for name, (u, g) in stress.SCENARIOS.items():
+                row = snapshot(stress.shock_macro(table, unemp_shock=u, gdp_shock=g), "month",
+                               ("unemployment_rate_stressed", "gdp_growth_stressed"))
+                shocked[name] = {k.removesuffix("_stressed"): v for k, v in row.items()}
+            return stress.stress_scenarios(self.part_a(), shocked)
+        return self._plan("part_a_scenarios", build)
+
     # ---- part B -----------------------------------------------------------
     def part_b(self, **stage_params) -> DataFrame:
         key = ("part_b",) + tuple(sorted(stage_params.items()))

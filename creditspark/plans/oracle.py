@@ -447,6 +447,14 @@ def oracle_sql() -> dict[str, str]:
     q["stress_totals"] = sql(["pa"], f"SELECT {rnd('sum(ecl_12m)', 'base_ecl')}, "
                              f"{rnd('sum(ecl_12m_stressed)', 'stressed_ecl')}, "
                              f"{rnd('sum(ecl_12m_stressed) - sum(ecl_12m)', 'uplift')} FROM pa")
+    scenarios = []
+    for name, (u, g) in stress.SCENARIOS.items():
+        z = sigmoid(score(risk.PIT_INTERCEPT, risk.PIT_TERMS, {
+            "unemployment_rate": f"(s.unemployment_rate + {d(u)})", "gdp_growth": f"(s.gdp_growth + {d(g)})"}))
+        scenarios.append(
+            f"SELECT '{name}' AS scenario, {rnd('sum(ecl_12m)', 'base_ecl')}, {rnd(f'sum(ead * lgd * {z})', 'stressed_ecl')}, "
+            f"{rnd(f'sum(ead * lgd * {z}) - sum(ecl_12m)', 'uplift')} FROM pa CROSS JOIN snap s")
+    q["stress_scenarios"] = sql(["pa", "snap"], " UNION ALL ".join(scenarios))
     q["stress_multiplier"] = sql(["pbs"], f"SELECT loan_id, {rnd('pd_12m_stressed', 'pd_12m_stressed')}, "
                                  f"{rnd('ecl_12m_stressed', 'ecl_12m_stressed')}, "
                                  f"{rnd('pd_ratio_stressed', 'pd_ratio_stressed')}, stage_ifrs9_stressed FROM pbs")

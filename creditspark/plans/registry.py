@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import with_norm_cdf, with_norm_ppf
-from ..operators import backtest, capital, catalog, reports, risk
+from ..operators import backtest, capital, catalog, reports, risk, stress
 from ..sources.loan_tape import reconciliation
 from ..sources.sinks import final_table
 from ..sources.specs import read_mapping_spec
@@ -262,6 +262,12 @@ def _stress_totals(b: Book):
     return reports.stress_totals(b.part_a_stressed())
 
 
+@query("stress_scenarios")
+def _stress_scenarios(b: Book):
+    """M7–M9 — base and stressed 12m ECL under three shocks, in one pass over the book."""
+    return reports.scenario_totals(b.part_a_scenarios(), stress.SCENARIOS)
+
+
 @query("stress_multiplier")
 def _stress_multiplier(b: Book):
     """M5, M6, M9, T4 — ramp scenario, multiplicative PD stress, re-staging."""

@@ -14,7 +14,8 @@ sys.path.insert(0, str(ROOT))
 from creditspark.plans.registry import queries  # noqa: E402
 from creditspark.session import get_session  # noqa: E402
 
-NAMES = ["stage_ecl", "portfolio_kpis", "stage_ecl_stressed", "irb_by_stage", "describe_pd", "pk_check"]
+NAMES = ["stage_ecl", "portfolio_kpis", "stage_ecl_stressed", "irb_by_stage",
+         "basel_grade_band_join", "tape_reconciliation", "auc", "pk_check"]
 
 
 def main() -> None:
