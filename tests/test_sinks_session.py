@@ -4,7 +4,7 @@ import os
 
 from creditspark.plans.book import Book
 from creditspark.session import recommended_conf
-from creditspark.sources.sinks import FINAL_COLS, write_final_table
+from creditspark.sources.sinks import FINAL_COLS, final_table, write_final_table
 
 
 def test_final_table_csv_and_parquet(spark, sf_small, scratch):
@@ -18,6 +18,12 @@ def test_final_table_csv_and_parquet(spark, sf_small, scratch):
     assert back.where("booking_month RLIKE '^[0-9]{4}-[0-9]{2}$'").count() == 1500
     pq = spark.read.parquet(pq_dir)
     assert pq.count() == 1500 and "booking_year" in pq.columns
+    # every value of every row survives the text form and the partitioned one
+    live = final_table(book.part_a())
+    kinds = dict(live.dtypes)
+    for stored in (back, pq):
+        same = stored.select(*[stored[c].cast(kinds[c]).alias(c) for c in live.columns])
+        assert same.exceptAll(live).count() == 0 and live.exceptAll(same).count() == 0
 
 
 def test_recommended_conf_scales():
