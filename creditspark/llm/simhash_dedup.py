@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from .graph import connected_components
 from .shared import text_key, written
-from .text import U, Words, as_bytes, chunks, signed, simhash
+from .text import U, Words, byte_chunks, signed, simhash
 
 SHINGLE, RADIUS = 3, 3
 SHARD_LIMIT = 4096
@@ -54,8 +54,10 @@ def shingle_hashes(texts: list[bytes], shingle: int) -> tuple[np.ndarray, np.nda
 
 def _fingerprints(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts = [t.lower() for t in as_bytes(frame["text"])]  # of bytes: A-Z only
-        got = [simhash(*shingle_hashes(texts[i:j], shingle)) for i, j in chunks(texts)]
+        got = [
+            simhash(*shingle_hashes([t.lower() for t in raw], shingle))  # of bytes: A-Z only
+            for _, _, raw in byte_chunks(frame["text"])
+        ]
         if got:
             kept = frame[["doc_id", "version"]].astype("Int64")
             yield kept.assign(fp=signed(np.concatenate(got)))
@@ -162,7 +164,7 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
     shard leaves free, until at most ``limit`` values can differ.
     """
     spark = fps.sparkSession
-    fixed, rows, ready = {0: 0}, fps.select("fp", F.lit(0).alias("path")), None
+    fixed, rows, ready = {0: 0}, fps.select("fp"), None
     while True:
         paths = [
             (parent, parent * (radius + 1) + k + 1, mask | block)
@@ -170,10 +172,14 @@ def shards(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> Da
             for k, block in enumerate(block_masks(~mask & (2**64 - 1), radius + 1))
         ]
         fixed = {path: mask for _, path, mask in paths}
-        steps = spark.createDataFrame(
-            [(p, c, _signed(m)) for p, c, m in paths], "path long, child long, mask long"
-        )  # (radius + 1) ** turns rows
-        dealt = rows.join(F.broadcast(steps), "path").select(
+        if ready is None:  # all start from one path
+            long = lambda x, name: F.lit(x).cast("long").alias(name)
+            each = F.array(*(F.struct(long(c, "child"), long(_signed(m), "mask")) for _, c, m in paths))
+            stepped = rows.select("fp", F.inline(each))
+        else:
+            steps = spark.createDataFrame([(p, c, _signed(m)) for p, c, m in paths], "path long, child long, mask long")
+            stepped = rows.join(F.broadcast(steps), "path")  # at most (radius + 1) ** turns rows
+        dealt = stepped.select(
             F.xxhash64("child", F.col("fp").bitwiseAND(F.col("mask"))).alias("shard"), "fp", F.col("child").alias("path")
         )
         sizes = dealt.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > limit)
