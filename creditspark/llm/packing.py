@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import as_bytes, chunks
+from .text import byte_chunks
 from .tokens import coder
 
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 4096, 256, 4096
@@ -146,9 +146,8 @@ def _pieces(frames: Iterator[pd.DataFrame], vocabulary: str, end_id: int, limits
         return got
 
     for frame in frames:
-        texts = as_bytes(frame["text"])
-        for i, j in chunks(texts):
-            for doc, ids in zip(frame["doc_id"].iloc[i:j], code.encode_all(texts[i:j]), strict=True):
+        for i, j, raw in byte_chunks(frame["text"]):
+            for doc, ids in zip(frame["doc_id"].iloc[i:j], code.encode_all(raw), strict=True):
                 key, at, n = (None if pd.isna(doc) else int(doc), ids + end), 0, len(ids) // 4 + 1
                 while n - at >= capacity:
                     emit([(key, at, capacity)])

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import BASES, Words, as_bytes, chunks, mix, span_hash
+from .text import BASES, Words, byte_chunks, mix, span_hash
 
 MAX_LABELLED = 20_000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -83,13 +83,14 @@ def _dup_lines(text: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def count_texts(texts: list[bytes]) -> pd.DataFrame:
+def count_texts(texts) -> pd.DataFrame:
+    """The counts of each text."""
     parts = []
-    for i, j in chunks(texts):
-        w = Words(texts[i:j])
-        at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts[i:j]])])
+    for _, _, raw in byte_chunks(texts):
+        w = Words(raw)
+        at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in raw])])
         total = lambda table: np.diff(np.concatenate([[0], np.cumsum(table[w.buf])])[np.minimum(at, len(w.buf))])  # noqa: E731, B023
-        lines = np.array([_dup_lines(t) for t in texts[i:j]], np.int64).reshape(-1, 2)
+        lines = np.array([_dup_lines(t) for t in raw], np.int64).reshape(-1, 2)
         parts.append(pd.DataFrame({
             "n_words": w.n, "word_chars": total(_NEW_CHAR & ~_SPACE), "n_symbols": total(_SYMBOL),
             "n_dup_lines": lines[:, 1], "n_repeat_words": _repeat_words(w), "n_lines": lines[:, 0],
@@ -105,7 +106,7 @@ def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield pd.concat([frame[names].reset_index(drop=True), count_texts(as_bytes(frame["text"]))], axis=1)
+            yield pd.concat([frame[names].reset_index(drop=True), count_texts(frame["text"])], axis=1)
 
     kinds = "doc_id long, " + "text string, " * carry + ", ".join(f"{c} long" for c in COUNTS)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, kinds)
@@ -222,7 +223,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf(counts)
     def counted(texts: pd.Series) -> pd.DataFrame:
-        return count_texts(as_bytes(texts))
+        return count_texts(texts)
 
     judged = verdicts(packed.withColumn("c", counted("_text")).select("row", "c.*"), rules)
     return judged.where("kept").select("row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import text_key, written
-from .text import BASES, U, Words, as_bytes, chunks, mix, signed, span_hash
+from .text import BASES, U, Words, byte_chunks, mix, signed, span_hash
 
 K, GRAM = 50, 10
 _AT = 26  # bits for a word's position within a chunk
@@ -70,13 +70,13 @@ def _cut(texts: list[bytes], k: int, gram: int):
 
 def _blocks(frames: Iterator[pd.DataFrame], k: int, gram: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        texts, ids = as_bytes(frame["text"]), frame["doc_id"].to_numpy()
-        for i, j in chunks(texts):
-            got = _cut(texts[i:j], k, gram)
+        ids = frame["doc_id"].to_numpy()
+        for i, j, raw in byte_chunks(frame["text"]):
+            got = _cut(raw, k, gram)
             if got is None:
                 continue
             text, start, n, anchor, block = got
-            version = np.array([zlib.crc32(t) for t in texts[i:j]], np.int64)
+            version = np.array([zlib.crc32(t) for t in raw], np.int64)
             yield pd.DataFrame({
                 "anchor": signed(anchor), "block": signed(block), "doc_id": ids[i:j][text],
                 "version": version[text], "start": start.astype(np.int32), "n": n.astype(np.int32),
@@ -86,9 +86,9 @@ def _blocks(frames: Iterator[pd.DataFrame], k: int, gram: int) -> Iterator[pd.Da
 def _windows(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     """The hashes of all windows in the listed blocks of each document."""
     for frame in frames:
-        texts, ids, version = as_bytes(frame["text"]), frame["doc_id"].to_numpy(), frame["version"].to_numpy()
-        for i, j in chunks(texts):
-            w = Words(texts[i:j])
+        ids, version = frame["doc_id"].to_numpy(), frame["version"].to_numpy()
+        for i, j, raw in byte_chunks(frame["text"]):
+            w = Words(raw)
             h = w.hashes()
             starts = [x for x in frame["starts"].iloc[i:j]]
             sizes = [x for x in frame["sizes"].iloc[i:j]]
@@ -136,8 +136,8 @@ def _with_version(docs: DataFrame) -> DataFrame:
 def _without(frames: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = []
-        for text, starts, sizes in zip(as_bytes(frame["text"]), frame["starts"], frame["sizes"], strict=True):
-            words, removed = text.split(), 0
+        for text, starts, sizes in zip(frame["text"], frame["starts"], frame["sizes"], strict=True):
+            words, removed = text.encode().split() if isinstance(text, str) else [], 0
             n = len(words)
             if starts is not None and len(starts):
                 step = np.zeros(n + 1, np.int64)

@@ -64,6 +64,20 @@ def chunks(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield i, len(texts)
 
 
+def byte_chunks(texts, limit: int = CHUNK) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges [i, j) of consecutive texts with their UTF-8, encoded a chunk at a time; null is empty."""
+    i, size, held = 0, 0, []
+    for j, t in enumerate(texts):
+        raw = t.encode() if isinstance(t, str) else b""
+        if held and size + len(raw) > limit:
+            yield i, j, held
+            i, size, held = j, 0, []
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield i, i + len(held), held
+
+
 class Words:
     """Word boundaries of a chunk of texts, in one byte buffer.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import simple8b
-from .text import as_bytes, chunks
+from .text import byte_chunks
 from .tokens import coder
 
 SEGMENT_IDS = 1 << 18
@@ -47,9 +47,8 @@ def _segments(frames: Iterator[pd.DataFrame], vocabulary: str, end_id: int) -> I
         })
 
     for frame in frames:
-        texts = as_bytes(frame["text"])
-        for i, j in chunks(texts):
-            for doc, ids in zip(frame["doc_id"].iloc[i:j], code.encode_all(texts[i:j]), strict=True):
+        for i, j, raw in byte_chunks(frame["text"]):
+            for doc, ids in zip(frame["doc_id"].iloc[i:j], code.encode_all(raw), strict=True):
                 docs.append(None if pd.isna(doc) else int(doc))
                 held.append(ids + end)
                 size += len(held[-1]) // 4

@@ -17,7 +17,8 @@ import numpy as np
 from .text import Words
 
 WORD_VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 600_000
+#: Pieces in each of the memo's two generations.
+MEMO_WORDS = 250_000
 _PER_CALL = 2_000
 
 
@@ -47,14 +48,17 @@ class WordCoder:
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ask(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, pieces: set[bytes]) -> None:
-        known, words = self.known, []
+        known, older, words = self.known, self.older, []
         for w in pieces:
-            if w.isalpha() or w.decode().isalpha():
+            if w in older:
+                known[w] = older[w]
+            elif w.isalpha() or w.decode().isalpha():
                 words.append(w)
             else:
                 known[w] = self._ask(w.decode())
@@ -78,7 +82,7 @@ class WordCoder:
         if not texts:
             return []
         if len(self.known) > MEMO_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         pieces, count = _pieces(texts)
         ids = list(map(self.known.get, pieces))
         if None in ids:

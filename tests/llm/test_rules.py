@@ -8,7 +8,6 @@ from conftest import CLASHES, frame, passage
 
 from creditspark.llm import quality_rules as q
 from creditspark.llm import toxicity as t
-from creditspark.llm.text import as_bytes
 
 SF = "/root/testdata/sf0.01"
 
@@ -28,7 +27,7 @@ def counted(text):
 def test_counts(corpus, awkward_rows):
     rng = random.Random(1)
     texts = [x for _, x in corpus + awkward_rows] + ["".join(rng.choice("ab #|\n\té中!7") for _ in range(rng.randint(0, 60))) for _ in range(300)]
-    got = q.count_texts(as_bytes(texts))
+    got = q.count_texts(texts)
     assert [tuple(r) for r in got.itertuples(index=False)] == [counted(x) for x in texts]
     assert tuple(got.columns) == q.COUNTS
 

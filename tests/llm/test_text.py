@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from creditspark.llm import simple8b
-from creditspark.llm.text import BASES, Words, as_bytes, bit_counts, chunks, simhash, span_hash
+from creditspark.llm.text import BASES, Words, as_bytes, bit_counts, byte_chunks, chunks, simhash, span_hash
 
 TEXTS = st.lists(st.text(alphabet="ab \t\n\x0b\x1c\x85é中 ", max_size=30), max_size=8)
 
@@ -26,6 +26,7 @@ def test_words(texts):
 def test_chunks_cover_all(texts, limit):
     raw = as_bytes(texts)
     assert [i for a, b in chunks(raw, limit) for i in range(a, b)] == list(range(len(texts)))
+    assert [x for a, b, part in byte_chunks(texts, limit) for x in zip(range(a, b), part, strict=True)] == list(enumerate(raw))
 
 
 def test_span_hash_depends_on_content_only():
