@@ -27,7 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the application's own folder, which may go once its results are read."""
+    return f"{shared_dir(spark)}/creditspark-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
