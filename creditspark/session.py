@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go once nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # HotSpot does not JIT methods over 8000 bytes; past that, fall back from
     # whole-stage codegen to per-operator code (split into small methods).
     "spark.sql.codegen.hugeMethodLimit": "8000",
