@@ -18,7 +18,7 @@ from .text import Words
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Pieces in each of the memo's two generations.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 500_000
 _PER_CALL = 2_000
 
 
@@ -42,9 +42,13 @@ class WordCoder:
     """``encode_all(texts)``: for each UTF-8 text its ids as little-endian uint32 bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same vocabulary for words of a-z, which the full normaliser and splitter leave as they are
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
         self.known: dict[bytes, bytes] = {}
@@ -54,17 +58,24 @@ class WordCoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, pieces: set[bytes]) -> None:
-        known, older, words = self.known, self.older, []
+        known, older, plain, words = self.known, self.older, [], []
         for w in pieces:
             if w in older:
                 known[w] = older[w]
-            elif w.isalpha() or w.decode().isalpha():
+            elif w.isalpha():  # of bytes: a-z
+                plain.append(w)
+            elif w.decode().isalpha():
                 words.append(w)
             else:
                 known[w] = self._ask(w.decode())
+        self._learn_words(self.plain, plain)
+        self._learn_words(self.tokenizer, words)
+
+    def _learn_words(self, tokenizer, words: list[bytes]) -> None:
+        known = self.known
         for i in range(0, len(words), _PER_CALL):
             part = words[i : i + _PER_CALL]
-            got = self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
+            got = tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
             ids = np.array(got, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(part):  # so each is one word to the pre-tokenizer
