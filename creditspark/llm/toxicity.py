@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .text import BASES, BYTE, U, Words, chunks, mix, span_hash
 
-MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES, MAX_CANDIDATES = 4_000, 12_000, 4_096, 65_536
+MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES, MAX_CANDIDATES = 3_000, 9_000, 4_096, 65_536
 CUT = 0.7
 PREFIXES = (5, 6, 7)
 LEVELS = 3
