@@ -215,13 +215,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents with the least doc_id of their group, one row for each; rows without doc_id stay.
 
-    Of rows that share the winning doc_id, the first by text stays.
+    Of rows that share the winning doc_id, one whose text has the least crc32 stays.
     """
     winners = near_duplicates(docs, shingle, radius).where("doc_id = component_id")
-    winners = winners.select("doc_id", "version").distinct()
+    winners = winners.groupBy("doc_id").agg(F.min("version").alias("least"))
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = docs.select(own, F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("version"))
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text"))
-    named = rows.where("doc_id is not null").join(winners, ["doc_id", "version"], "left_semi")
+    # versions are compared beside the join, so that texts are dealt by doc_id once, for it and the window
+    named = rows.where("doc_id is not null").join(winners, "doc_id").where("version - least = 0")
     kept = named.withColumn("nth", first).where("nth = 1").select("row")
     return kept.unionByName(rows.where("doc_id is null").select("row")).select("row.*")
