@@ -206,10 +206,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     nodes = fingerprint_groups(fps.select("fp"), radius).withColumnRenamed("node", "fp")
     grouped = written(nodes.join(fps, "fp"), "grouped-fingerprints")
-    least = grouped.groupBy("component").agg(F.min("least").alias("group_least"))
+    # both are written, so that the adaptive planner can split the joins at a hot component or fingerprint
+    least = written(grouped.groupBy("component").agg(F.min("least").alias("group_least")), "least-of-groups")
     labels = grouped.join(least, "component").select("fp", "group_least")
     labels = fps.join(labels, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
-    return marked.join(labels, "fp").select("doc_id", "version", "fp", "component_id")
+    return marked.join(written(labels, "fingerprint-groups"), "fp").select("doc_id", "version", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
