@@ -147,6 +147,7 @@ def bit_counts(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     cuts = (n + 254) // 255
     if not cuts.sum():
         return out
+    one_each = bool((cuts == 1).all())
     group = np.repeat(np.arange(len(n)), cuts)
     at = np.concatenate([[0], np.cumsum(n)[:-1]])
     nth = np.arange(len(group)) - np.repeat(np.concatenate([[0], np.cumsum(cuts)[:-1]]), cuts)
@@ -155,7 +156,7 @@ def bit_counts(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     for byte in range(8):
         lanes = np.add.reduceat(_SPREAD[parts[:, byte]], start)
         sums = lanes.astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64)
-        if len(group) == len(n):
+        if one_each:
             out[:, 8 * byte : 8 * byte + 8] = sums
         else:
             np.add.at(out[:, 8 * byte : 8 * byte + 8], group, sums)

@@ -49,6 +49,15 @@ def test_bit_counts_and_simhash():
         assert int(fp[k]) == sum(1 << b for b in range(64) if 2 * want[b] > size)
 
 
+def test_bit_counts_where_empty_groups_equal_surplus_cuts():
+    rng = np.random.default_rng(3)
+    for n in ([0, 5, 7, 300], [300, 0, 1], [0, 0, 600, 2], [700, 3, 0, 0]):
+        h = rng.integers(0, 2**64 - 1, sum(n), dtype=np.uint64)
+        ends = np.cumsum(n)
+        want = [[int((part >> np.uint64(b) & np.uint64(1)).sum()) for b in range(64)] for part in np.split(h, ends[:-1])]
+        assert bit_counts(h, np.array(n)).tolist() == want
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 64).flatmap(lambda b: st.integers(0, max(0, 2**b - 1))), max_size=700))
 def test_simple8b_round_trip(ids):
