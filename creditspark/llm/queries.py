@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import report as decontamination_report
-from .line_dedup import without_repeated_lines
+from .line_dedup import KEYS, without_repeated_lines
 from .packing import pack_documents
 from .quality_rules import learn_rules, statistics, verdicts
 from .secret_ledger import BASE_RULES, scan_versions
@@ -33,7 +33,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = without_repeated_lines(table(spark, sf_dir, "documents"))
+    left = without_repeated_lines(table(spark, sf_dir, "documents"), keys=KEYS)
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
     return left.select("row.doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from creditspark.llm import simhash_dedup as sd
 from creditspark.llm.graph import connected_components
-from creditspark.llm.line_dedup import drop_repeated_lines, edit_distance, without_repeated_lines
+from creditspark.llm.line_dedup import KEYS, drop_repeated_lines, edit_distance, without_repeated_lines
 from creditspark.llm.substring_dedup import remove_repeats, sliding_min
 
 
@@ -159,6 +159,39 @@ def test_fuzzy_lines_are_found_and_verified(spark):
     assert got[2] == got[3] == "" and got[5] == rows[4][1]
 
 
+def test_lines_equal_plain_edit_similarity(spark, corpus):
+    """Against all pairs of distinct normalised lines, without any condition on fingerprints or keys."""
+    rng = random.Random(8)
+    rows = list(corpus)
+    for i, n in enumerate([10, 10, 15, 15, 20, 20, 20, 30, 30, 40, 40]):
+        w = passage(rng, n).split()
+        rows.append((1000 + i, " ".join(w)))
+        for k in range(1, 3 if n >= 20 else 2):
+            for at in rng.sample(range(n), k):
+                w[at] = "other"
+            rows.append((1100 + 2 * i + k, " ".join(w)))
+    kinds = {}
+    for doc, text in sorted(rows):
+        for k, line in enumerate(text.split("\n")):
+            if x := brute.normal_line(line):
+                kinds.setdefault(x, []).append((doc, k))
+    lines = list(kinds)
+
+    def linked(i):
+        for j in range(i):
+            longest = max(len(lines[i]), len(lines[j]))
+            if abs(len(lines[i]) - len(lines[j])) <= 0.2 * longest and longest - edit_distance(lines[i], lines[j]) >= 0.8 * longest:
+                yield j
+
+    group, places = brute.components(lines, linked), {}
+    for x in lines:
+        places.setdefault(group[x], []).extend(kinds[x])
+    gone = {p for all_ in places.values() for p in sorted(all_)[1:]}
+    want = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if (d, k) not in gone) for d, t in rows}
+    got = {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, rows), keys=KEYS).collect()}
+    assert got == want and want != brute.line_groups(rows)
+
+
 def test_lines_awkward(awkward, awkward_rows, empty):
     cut = without_repeated_lines(awkward)
     got = [(r.row.doc_id, r.text, r.n_lines, r.n_removed) for r in cut.collect()]
