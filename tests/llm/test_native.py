@@ -131,6 +131,35 @@ def test_masks_are_sensitive(n):
         )
 
 
+@pytest.mark.parametrize("n", range(1, dc.SHORT))
+def test_short_masks_are_sensitive(n):
+    for wrong in itertools.combinations(range(n), n - math.ceil(dc.EQUAL * n)):
+        assert any(all(i not in wrong for i, c in enumerate(m) if c == "1") for m in dc.short_masks(n))
+
+
+def test_short_items_are_searched_for(spark):
+    """Every substitution that passes, and one more, in the middle of a text, at its ends, and alone."""
+    rng = random.Random(4)
+    items = [(n, " ".join(f"{w}{n}" for w in passage(rng, n).split())) for n in range(1, dc.SHORT)]
+    docs, want = [], set()
+    for n, item in items:
+        may = n - math.ceil(dc.EQUAL * n)
+        for wrong in [c for k in range(may + 2) for c in itertools.combinations(range(n), k)]:
+            w = ["other" if i in wrong else x for i, x in enumerate(item.split())]
+            for before, after in ((12, 12), (0, 3), (3, 0), (0, 0)):
+                doc = " ".join(["pad"] * before + w + ["pad"] * after)
+                if len(wrong) <= may:
+                    want.add((len(docs), n))
+                docs.append((len(docs), doc))
+        for w in (item.split()[may:], item.split()[: n - may]):  # the text begins or ends within the item
+            want.add((len(docs), n))
+            docs.append((len(docs), " ".join(w)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = frame(spark, docs)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(df, bench).collect()} == want
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan(dc.report(df, bench)))
+
+
 def test_decontamination_awkward(spark, awkward, awkward_rows, empty):
     bench = spark.createDataFrame([(1, awkward_rows[3][1]), (2, None), (3, ""), (None, "x " * 20)], "item_id long, text string")
     got = dc.report(awkward, bench)
