@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontamination import report as decontamination_report
 from .line_dedup import KEYS, without_repeated_lines
+from .merkle import manifest
 from .packing import pack_documents
 from .quality_rules import learn_rules, statistics, verdicts
 from .secret_ledger import BASE_RULES, scan_versions
@@ -88,9 +89,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_substring_dedup, op2_token_output, op3_line_dedup, op4_quality_rules, op5_url_filter, op6_toxicity,
-        op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination,
+        op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination, op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
