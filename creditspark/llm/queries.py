@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_tokens import byte_vocabulary_path
+from .configuration_packing import pack_whole
 from .decontamination import report as decontamination_report
 from .line_dedup import KEYS, without_repeated_lines
 from .merkle import manifest
@@ -89,6 +91,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_whole(table(spark, sf_dir, "documents"), byte_vocabulary_path(None))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
@@ -96,6 +102,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_substring_dedup, op2_token_output, op3_line_dedup, op4_quality_rules, op5_url_filter, op6_toxicity,
-        op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination, op13_merkle_manifest,
+        op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination,
+        op12_configuration_packing, op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}
