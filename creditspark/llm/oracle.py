@@ -1,6 +1,6 @@
 """DuckDB SQL for those queries that SQL can express; the others are tested against brute force.
 
-Not expressible, for what they call: op2 and op8 (a tokenizer), op3 and op9 (SimHash over hashes that
+Not expressible, for what they call: op2, op8 and op12 (a tokenizer), op3 and op9 (SimHash over hashes that
 DuckDB lacks), op4 and op6 (learned models).
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from .decontamination import EQUAL, MASKS, OVERLAP, SPAN
 from .secret_ledger import BASE_RULES, RULES
+from .spelling import DELETE_EVERY, LEAST_COUNT, LEAST_LENGTH, RATIO
 from .substring_dedup import K
 from .url_filter import ORDER
 from .url_filter import RULES as URL_RULES
@@ -127,10 +128,100 @@ SELECT page_id, host, path, rule,
 FROM judged LEFT JOIN scores USING (url) CROSS JOIN cut"""
 
 
+#: The table of the CRC-32 polynomial (reversed form), as one list; DuckDB has no crc32.
+_CRC_TABLE = """(SELECT list(v ORDER BY i) AS crc_table FROM (SELECT i, list_reduce(
+    [i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k : CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+) AS v FROM range(256) AS r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII and Latin-1 letters as UTF-8; needs ``crc_table`` in scope."""
+    code = "unicode(c)::BIGINT"
+    utf8 = f"CASE WHEN {code} < 128 THEN [{code}] ELSE [192 + ({code} >> 6), 128 + ({code} & 63)] END"
+    return f"""xor(4294967295, list_reduce(
+    flatten(list_prepend([4294967295], list_transform(string_split({text}, ''), lambda c : {utf8}))),
+    lambda x, b : xor(x >> 8, crc_table[(xor(x, b) & 255) + 1])))"""
+
+
+def _spelling_variants() -> str:
+    return f"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+run AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+grp AS (SELECT doc_id, run, count(*) AS c FROM run WHERE length(run) >= {LEAST_LENGTH} GROUP BY ALL),
+hashed AS (SELECT run, c, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM grp, crc),
+typo AS (SELECT CASE WHEN h % {DELETE_EVERY} = 0
+                THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c
+         FROM hashed),
+w AS (SELECT word, sum(c)::BIGINT AS n FROM typo WHERE length(word) >= {LEAST_LENGTH} GROUP BY word
+      HAVING sum(c) >= {LEAST_COUNT}),
+del AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM del a JOIN del b USING (i, rest) WHERE a.word <> b.word
+         UNION SELECT DISTINCT w.word, w.n, del.word, del.n FROM w JOIN del ON w.word = del.rest
+         UNION SELECT DISTINCT del.word, del.n, w.word, w.n FROM w JOIN del ON w.word = del.rest),
+best AS (SELECT word, n, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other,
+                first(other_n ORDER BY other_n DESC, other) AS other_n FROM near GROUP BY word, n),
+form AS (SELECT word, other AS form, other_n AS form_n FROM best WHERE other_n >= {RATIO} * n),
+walk AS (SELECT word, form AS root, 1 AS steps FROM form
+         UNION ALL SELECT walk.word, form.form, steps + 1 FROM walk JOIN form ON walk.root = form.word),
+root AS (SELECT word, arg_max(root, steps) AS root FROM walk GROUP BY word)
+SELECT w.word, form, coalesce(root, w.word) AS root, w.n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n
+FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN root USING (word)"""
+
+
+def _merkle_manifest(source_levels: int = 5, top_levels: int = 3) -> str:
+    """The tree level by level: up to 16^5 documents a source and 16^3 sources."""
+    def digest(text: str) -> str:
+        fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        parts = (f"coalesce(octet_length(encode({x})) || ':' || {x}, '-')" for x in fields)
+        return f"sha256({' || '.join(parts)})"
+
+    def climb(name: str, first: str, group: str, levels: int) -> str:
+        """CTEs name0..nameN (grp, i, d) and side CTEs with each node's siblings left and right."""
+        part = f"PARTITION BY {group}" if group else ""
+        by = f"{group}, " if group else ""
+        out = [f"{name}0 AS ({first})"]
+        for k in range(levels):
+            run = f"PARTITION BY {by}i // 16 ORDER BY i"
+            out.append(f"""{name}s{k} AS (SELECT *, count(*) OVER ({part}) AS n,
+    coalesce(string_agg(d, '') OVER ({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            out.append(f"""{name}{k + 1} AS (SELECT {by}i // 16 AS i,
+    CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE max(d) END AS d FROM {name}s{k} GROUP BY {by}i // 16)""")
+        return ",\n".join(out)
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps, state = [], "f0"
+    for name, levels in (("a", source_levels), ("t", top_levels)):
+        for k in range(levels):
+            same = f"s.source IS NOT DISTINCT FROM f.source AND s.i = f.i // {16**k}" if name == "a" else f"s.i = f.j // {16**k}"
+            steps.append(f"""{state}{name}{k} AS (SELECT f.* REPLACE (f.proof || s.l || s.r AS proof,
+    CASE WHEN s.n > 1 THEN sha256(s.l || f.x || s.r) ELSE f.x END AS x) FROM {state} f JOIN {name}s{k} s ON {same})""")
+            state += f"{name}{k}"
+    joined = ",\n".join(steps)
+    return f"""
+WITH crc AS {_CRC_TABLE},
+leaf AS (SELECT doc_id, source, {digest("text")} AS d, {_crc32("doc_id::VARCHAR")} % 5 = 0 AS chosen,
+                {digest(lower)} AS lowered FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, d) - 1 AS i FROM leaf),
+{climb("a", "SELECT source, i, d FROM placed", "source", source_levels)},
+top AS (SELECT source, d, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j FROM a{source_levels}),
+{climb("t", "SELECT j AS i, d FROM top", "", top_levels)},
+f0 AS (SELECT doc_id, placed.source, i, j, placed.d AS leaf, top.d AS subroot, '' AS proof,
+              CASE WHEN chosen THEN lowered ELSE placed.d END AS x
+       FROM placed JOIN top ON top.source IS NOT DISTINCT FROM placed.source),
+{joined}
+SELECT doc_id, leaf, subroot, t{top_levels}.d AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = t{top_levels}.d AS verified
+FROM {state}, t{top_levels}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": _substring_dedup(),
         "op5_url_filter": _url_filter(),
         "op7_secret_ledger": _secret_ledger(),
         "op10_decontamination": _decontamination(),
+        "op11_spelling_variants": _spelling_variants(),
+        "op13_merkle_manifest": _merkle_manifest(),
     }

@@ -17,6 +17,7 @@ from .quality_rules import learn_rules, statistics, verdicts
 from .secret_ledger import BASE_RULES, scan_versions
 from .shared import fresh_path, table
 from .simhash_dedup import near_duplicates
+from .spelling import variants
 from .substring_dedup import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .tokens import vocabulary_path
@@ -91,6 +92,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
 def op12_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_whole(table(spark, sf_dir, "documents"), byte_vocabulary_path(None))
 
@@ -103,6 +108,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_substring_dedup, op2_token_output, op3_line_dedup, op4_quality_rules, op5_url_filter, op6_toxicity,
         op7_secret_ledger, op8_packing, op9_simhash_dedup, op10_decontamination,
-        op12_configuration_packing, op13_merkle_manifest,
+        op11_spelling_variants, op12_configuration_packing, op13_merkle_manifest,
     )
     return {f.__name__: f for f in found}

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     found = queries.queries()
-    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in (*range(1, 11), 12, 13)]
+    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in range(1, 14)]
     assert set(oracle.oracle_sql()) <= set(found)
 
 
@@ -25,6 +25,9 @@ def test_entry_has_them_all():
 @pytest.mark.parametrize("name", list(queries.queries()))
 def test_whole_tables(spark, name):
     got = queries.queries()[name](spark, SF)
+    if name.startswith("op11"):
+        assert got.count() == got.select("word").distinct().count() > 500
+        return
     rows = spark.read.parquet(f"{SF}/{'pages' if name.startswith('op5') else 'documents'}.parquet").count()
     assert got.count() >= rows if name.startswith(("op8", "op12")) else got.count() == rows
 
