@@ -12,6 +12,7 @@ single stage up to its first aggregate; summaries add one shuffle each.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.core import pushdown_barrier
 from ..operators import capital, risk, staging, stress
 from ..operators.joins import lookup_macro_at_booking
+from ..session import ensure_checkpoint_dir
+from ..sources.bucketed import Bucketed, write_bucketed
 from ..sources.loan_tape import BookCalendar, read_loan_tape, with_draws
 from ..sources.macro import book_macro, ramp_scenario, snapshot
 from ..sources.tables import read_table
@@ -75,6 +78,14 @@ class Book:
     def sources(self) -> tuple[DataFrame, DataFrame]:
         return read_table(self.spark, self.sf_dir, "orders"), read_table(self.spark, self.sf_dir, "customer")
 
+    def bucketed(self) -> Bucketed:
+        """Orders and customers bucketed by customer, written once to the shared folder."""
+        def build():
+            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/bucketed-{uuid.uuid4().hex}"
+            return write_bucketed(*self.sources(), path, buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+                                  name=f"book_{uuid.uuid4().hex[:12]}")
+        return self._plan("bucketed", build)
+
     def part_a(self, lgd_noise_sd: float = 0.0) -> DataFrame:
         return self._plan(("part_a", lgd_noise_sd), lambda: self._part_a(lgd_noise_sd))
 

@@ -5,7 +5,7 @@ pre-registered ``orders`` and ``customer`` views). Coefficients, bands and salts
 are those of the code under test; the tests hold them against values typed in
 from the model's definition (``tests/test_anchors.py``). Doubles are rounded as
 ``registry.present`` does, money to 4 places and ratios to 9. Queries without an
-entry here (the fitted back-test) get a rows-only check.
+entry here get a rows-only check.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 
 from ..operators import capital, risk, staging, stress
-from ..operators.backtest import CHAMPION_BOUND, CHAMPION_INTERCEPT, CHAMPION_TERMS, SPLIT_SALT, TEST_SIZE
+from ..operators.backtest import CHAMPION_BOUND, CHAMPION_INTERCEPT, CHAMPION_TERMS, FEATURES, LOGIT_BOUND, SPLIT_SALT, TEST_SIZE
 from ..operators.reports import KPI_LABELS
 from ..sources import macro as M
 from ..sources.loan_tape import SALT, TERM_CHOICES, TERM_CHOICES_A, TERM_WEIGHTS
@@ -390,6 +390,56 @@ cte("champion", ["split"], f"""
   FROM split""")
 
 
+# ---- the logistic fit: Newton steps written out, 11 equations each, solved by elimination ----
+# powers of ten that the equations are solved in; the solution does not depend on them
+_FIT_UNITS = (1.0, 1e2, 1e5, 1e3, 1e1, 1.0, 1.0, 1e1, 1e1, 1e1, 1e1)
+_FIT_STEPS = 9
+
+
+def _newton_ctes() -> str:
+    """``fit0`` .. ``fit<_FIT_STEPS>``: one row w0..w10 each, in units of ``_FIT_UNITS``, the intercept first."""
+    k = len(FEATURES) + 1
+    ridge = [0.0] + [1.0 / u**2 for u in _FIT_UNITS[1:]]
+    x = [d(1.0)] + [f"x{i}" for i in range(1, k)]
+    cols = ", ".join(f"CAST({f} AS DOUBLE) / {d(u)} AS x{i}" for i, (f, u) in enumerate(zip(FEATURES, _FIT_UNITS[1:]), 1))
+    out = [f"tr AS MATERIALIZED (SELECT CAST(default_12m AS DOUBLE) AS y, {cols} FROM split WHERE split = 'train')",
+           "fit0 AS (SELECT " + ", ".join(f"{d(0.0)} AS w{i}" for i in range(k)) + ")"]
+    for s in range(1, _FIT_STEPS + 1):
+        z = clip(" + ".join(f"w{i} * {x[i]}" for i in range(k)), -LOGIT_BOUND, LOGIT_BOUND)
+        sums = [f"any_value(w{i}) AS w{i}" for i in range(k)]
+        sums += [f"sum((p - y) * {x[i]}) + {d(ridge[i])} * any_value(w{i}) AS b{i}" for i in range(k)]
+        sums += [f"sum(p * ({d(1.0)} - p) * {x[i]} * {x[j]}) + {d(ridge[i] if i == j else 0.0)} AS a{i}_{j}"
+                 for i in range(k) for j in range(i, k)]
+        out.append(f"p{s} AS (SELECT *, {d(1.0)} / ({d(1.0)} + exp(-({z}))) AS p FROM tr CROSS JOIN fit{s - 1})")
+        out.append(f"e{s}_0 AS MATERIALIZED (SELECT {', '.join(sums)} FROM p{s})")
+        for m in range(k - 1):  # eliminate unknown m from the equations below it
+            new = [f"b{i} - a{m}_{i} * b{m} / a{m}_{m} AS b{i}" for i in range(m + 1, k)]
+            new += [f"a{i}_{j} - a{m}_{i} * a{m}_{j} / a{m}_{m} AS a{i}_{j}" for i in range(m + 1, k) for j in range(i, k)]
+            out.append(f"e{s}_{m + 1} AS MATERIALIZED (SELECT * REPLACE ({', '.join(new)}) FROM e{s}_{m})")
+        for i in range(k - 1, -1, -1):  # back substitution: b becomes the step
+            rest = "".join(f" - a{i}_{j} * b{j}" for j in range(i + 1, k))
+            src = f"e{s}_{k - 1}" if i == k - 1 else f"s{s}_{i + 1}"
+            out.append(f"s{s}_{i} AS MATERIALIZED (SELECT * REPLACE ((b{i}{rest}) / a{i}_{i} AS b{i}) FROM {src})")
+        out.append(f"fit{s} AS MATERIALIZED (SELECT {', '.join(f'w{i} - b{i} AS w{i}' for i in range(k))} FROM s{s}_0)")
+    return ",\n".join(out)
+
+
+def _fit_sql(select: str) -> str:
+    return with_ctes("split").rstrip() + ",\n" + _newton_ctes() + "\n" + select
+
+
+def _metrics_sql(scored: str) -> str:
+    """``n_train, n_test, auc, brier`` of ``scored(default_12m, split, pd_model)``."""
+    return (
+        f"SELECT n_train, n_test, {rnd('auc', 'auc')}, {rnd('brier', 'brier')} FROM ("
+        "SELECT count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'test') AS n_test, "
+        f"avg((pd_model - default_12m) * (pd_model - default_12m)) FILTER (split = 'test') AS brier FROM {scored}) "
+        "CROSS JOIN (SELECT sum(pos * (coalesce(before, 0) + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc "
+        "FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY pd_model ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before "
+        f"FROM (SELECT pd_model, sum(default_12m) AS pos, sum(1 - default_12m) AS neg FROM {scored} WHERE split = 'test' "
+        "GROUP BY pd_model)))")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     tape_doubles = ["age", "annual_income", "credit_score", "employment_years", "dti_ratio", "utilization_ratio",
@@ -397,6 +447,7 @@ def oracle_sql() -> dict[str, str]:
     q["loan_tape"] = sql(["tape"], "SELECT loan_id, customer_id, booking_month, booking_year, vintage_index, "
                          + ", ".join(rnd(c, c) for c in tape_doubles)
                          + ", num_inquiries_12m, term_months FROM tape")
+    q["loan_tape_bucketed"] = q["loan_tape"]
     q["macro_path"] = sql(["mac"], f"SELECT month, {rnd('unemployment_rate', 'unemployment_rate')}, "
                           f"{rnd('gdp_growth', 'gdp_growth')}, {rnd('house_price_index', 'house_price_index')} FROM mac")
     q["macro_at_booking"] = sql(["tapem"], f"SELECT loan_id, booking_month, {rnd('booking_unemp', 'booking_unemp')}, "
@@ -504,14 +555,14 @@ def oracle_sql() -> dict[str, str]:
     q["brier"] = sql(["pb"], f"SELECT {rnd('avg((pd_12m - CAST(default_12m AS DOUBLE)) * (pd_12m - CAST(default_12m AS DOUBLE)))', 'brier')} FROM pb")
     q["stratified_split"] = sql(["split"], "SELECT default_12m, split, count(*) AS loans FROM split GROUP BY 1, 2")
     q["champion_scores"] = sql(["champion"], f"SELECT loan_id, split, {rnd('pd_model', 'pd_model')} FROM champion")
-    q["champion_metrics"] = sql(["champion"], (
-        f"SELECT n_train, n_test, {rnd('auc', 'auc')}, {rnd('brier', 'brier')} FROM ("
-        "SELECT count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'test') AS n_test, "
-        "avg((pd_model - default_12m) * (pd_model - default_12m)) FILTER (split = 'test') AS brier FROM champion) "
-        "CROSS JOIN (SELECT sum(pos * (coalesce(before, 0) + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc "
-        "FROM (SELECT pos, neg, sum(neg) OVER (ORDER BY pd_model ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before "
-        "FROM (SELECT pd_model, sum(default_12m) AS pos, sum(1 - default_12m) AS neg FROM champion WHERE split = 'test' "
-        "GROUP BY pd_model)))"))
+    q["champion_metrics"] = sql(["champion"], _metrics_sql("champion"))
+    last = f"fit{_FIT_STEPS}"
+    own = ["w0", *(f"w{i} / {d(u)}" for i, u in enumerate(_FIT_UNITS[1:], 1))]
+    q["pd_coefficients"] = _fit_sql(" UNION ALL ".join(
+        f"SELECT '{f}' AS feature, {rnd(x, 'coefficient')} FROM {last}" for f, x in zip(("intercept", *FEATURES), own, strict=True)))
+    z = " + ".join(f"{x} * CAST({f} AS DOUBLE)" if f else x for x, f in zip(own, ("", *FEATURES)))
+    scored = f"(SELECT default_12m, split, {sigmoid(z, LOGIT_BOUND)} AS pd_model FROM split CROSS JOIN {last})"
+    q["pd_backtest"] = _fit_sql(_metrics_sql(scored))
     q["tape_reconciliation"] = (
         "SELECT CAST(year(o_orderdate) AS INTEGER) AS booking_year, count(*) AS orders, count(c_custkey) AS loans, "
         "count(*) - count(c_custkey) AS no_customer, count(*) - count(o_orderdate) AS no_date "

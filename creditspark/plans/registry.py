@@ -20,7 +20,7 @@ from ..operators import backtest, capital, catalog, reports, risk, stress
 from ..sources.loan_tape import reconciliation
 from ..sources.sinks import final_table
 from ..sources.specs import read_mapping_spec
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_path
 from .book import Book
 
 SPEC_DIR = Path(__file__).resolve().parent.parent / "specs"
@@ -32,7 +32,7 @@ ALT_SICR = {"pd_ratio_threshold": 2.0, "abs_pd_threshold": 0.3, "backstop_30dpd"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
-_BOOKS: dict[tuple, tuple[tuple, Book]] = {}
+_BOOKS: dict[tuple, Book] = {}
 
 
 #: Columns in money; every other double is a ratio, a rate or a score.
@@ -64,12 +64,22 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def book(spark: SparkSession, sf_dir: str) -> Book:
-    """The folder's book; kept for as long as the application and the folder's files stay the same."""
-    files = tuple(sorted(read_table(spark, sf_dir, "orders").inputFiles() + read_table(spark, sf_dir, "customer").inputFiles()))
+    """The folder's book, opened once an application: no query lists the folder's files again.
+
+    Files that come later are seen after :func:`refresh`.
+    """
     k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _BOOKS or _BOOKS[k][0] != files:
-        _BOOKS[k] = (files, Book.open(spark, sf_dir))
-    return _BOOKS[k][1]
+    if k not in _BOOKS:
+        _BOOKS[k] = Book.open(spark, sf_dir)
+    return _BOOKS[k]
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> Book:
+    """Open the folder's book anew, with the files and the calendar as they are now."""
+    for name in ("orders", "customer"):
+        spark.catalog.refreshByPath(table_path(sf_dir, name))
+    _BOOKS.pop((spark.sparkContext.applicationId, sf_dir), None)
+    return book(spark, sf_dir)
 
 
 def query(name: str):
@@ -95,6 +105,12 @@ def _loan_tape(b: Book):
     return b.tape
 
 
+@query("loan_tape_bucketed")
+def _loan_tape_bucketed(b: Book):
+    """S1 — the loan tape from orders and customers kept bucketed by customer: a join without exchange."""
+    return b.bucketed().tape(b.calendar)
+
+
 @query("tape_reconciliation")
 def _tape_reconciliation(b: Book):
     """S1 — orders, loans and orders without customer or date, by booking year."""
@@ -383,6 +399,12 @@ def _champion_metrics(b: Book):
     return backtest.metrics(backtest.champion_score(backtest.split_table(b.part_a())))
 
 
+@query("pd_coefficients")
+def _pd_coefficients(b: Book):
+    """K2 — coefficients of the logistic regression fitted on the training rows."""
+    return backtest.fitted(b.part_a())[0].table(b.spark)
+
+
 @query("pd_backtest")
 def _pd_backtest(b: Book):
     """K1–K5 — logistic-regression back-test (out-of-sample AUC, Brier)."""

@@ -12,7 +12,9 @@ Scale notes
   reference, and :func:`reconciliation` counts such orders without failing.
   Neither side has a proven size bound, so neither is broadcast whole: customers
   that hold a large share of a sample of orders are joined against a broadcast
-  of just their own rows (at most 1/share of them), all others by a shuffle join.
+  of just their own rows (at most 1/share of them); how all others are joined is
+  the planner's choice by measured sizes. ``sources.bucketed`` keeps both sides
+  bucketed by customer, so that the join needs no exchange at all.
 * The book's calendar (first/last booking month, first booking year) is a
   one-row aggregate over one column of ``orders``; it is brought to the driver
   as three scalars so downstream expressions fold them as literals.
@@ -107,10 +109,10 @@ def join_orders_customers(orders: DataFrame, customer: DataFrame, hot: list | No
         return left.join(right, left["o_custkey"] == right["c_custkey"], "left").withColumn("customer_found", found)
 
     if not hot:
-        return joined(o, c.hint("merge"))
+        return joined(o, c)
     is_hot = F.col("o_custkey").isin(hot)
     hot_part = joined(o.where(is_hot), F.broadcast(c.where(F.col("c_custkey").isin(hot))))  # len(hot) rows
-    rest = joined(o.where(~is_hot | F.col("o_custkey").isNull()), c.hint("merge"))
+    rest = joined(o.where(~is_hot | F.col("o_custkey").isNull()), c)
     return hot_part.unionByName(rest)
 
 
@@ -142,7 +144,11 @@ def loan_tape(orders: DataFrame, customer: DataFrame, calendar: BookCalendar | N
     its attributes are read; :func:`reconciliation` tells how many there are.
     """
     cal = calendar or book_calendar(orders)
-    j = join_orders_customers(orders, customer, hot)
+    return tape_of_join(join_orders_customers(orders, customer, hot), cal, term_choices=term_choices, term_weights=term_weights)
+
+
+def tape_of_join(j: DataFrame, cal: BookCalendar, *, term_choices=TERM_CHOICES, term_weights=TERM_WEIGHTS) -> DataFrame:
+    """The loan tape from orders joined with customers and ``customer_found``."""
     j = j.where(F.assert_true(F.col("customer_found"), F.lit("order without a customer row")).isNull())
     k = "o_orderkey"
     bm = "trunc(CAST(o_orderdate AS DATE), 'month')"
