@@ -208,6 +208,51 @@ def test_lines_awkward(awkward, awkward_rows, empty):
     assert drop_repeated_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1024, 3])
+def test_short_and_hot_lines_meet(spark, monkeypatch, rows):
+    """Typos in lines of a few words, and a meeting of many lines that is cut into blocks."""
+    from creditspark.llm import line_dedup
+
+    monkeypatch.setattr(line_dedup, "ROWS", rows)
+    rng = random.Random(12)
+    texts = ["internationalisation", "internationalization", "contact us", "contact uss", "Subscribe to newsletter",
+             "subscribe tu newsletter!", "=====", "=====", "all rights reserved 2019", "all rights reserved 2024"]
+    tail = passage(rng, 8)
+    # one shard: the same few words over and over, some similar and some not
+    texts += [f"{tail} {passage(rng, 1)}" for _ in range(25)] + [f"{tail.split()[0]} {passage(rng, 9)}" for _ in range(10)]
+    docs = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in drop_repeated_lines(frame(spark, docs), keys=KEYS).collect()}
+    assert got == brute.edit_groups(docs)
+    assert got[1] == got[3] == got[5] == got[9] == "" and got[7] == "====="
+
+
+def test_keys_do_not_depend_on_the_other_lines():
+    from creditspark.llm.line_dedup import line_keys
+
+    rng = random.Random(1)
+    lines = [passage(rng, n) for n in (1, 2, 3, 4, 5, 6, 9, 40)] + ["a", "éé x"]
+    alone = [line_keys(f"{x}\n".encode(), KEYS)[0].tolist() for x in lines]
+    assert [x.tolist() for x in line_keys("\n".join([*lines, "", ""]).encode(), KEYS)] == alone
+    assert [len(x) for x in alone] == [7, 7, 7, 14, 14, 7, 7, 7, 7, 7]
+    assert [x & 7 for x in alone[3]] == [*range(7)] * 2
+
+
+def test_lines_awkward_with_keys(awkward, awkward_rows, empty):
+    cut = without_repeated_lines(awkward, keys=KEYS)
+    got = [(r.row.doc_id, r.text, r.n_lines, r.n_removed) for r in cut.collect()]
+    assert len(got) == len(awkward_rows)
+    by = {}
+    for d, *rest in got:
+        by.setdefault(d, []).append(tuple(rest))
+    assert by[1] == [(None, 0, 0)] and by[2] == [("", 1, 0)] and (None, 0, 0) in by[None]
+    assert {x[2] for x in by[None]} == {0}
+    assert by[4] == [by[4][0]] * 2 and by[11][0][2] == 3
+    kept = drop_repeated_lines(awkward, keys=KEYS)
+    assert kept.columns == awkward.columns and kept.count() == len(awkward_rows)
+    assert {r.row for r in kept.select("row").collect()} == {"own row"}
+    assert drop_repeated_lines(empty, keys=KEYS).count() == 0
+
+
 def test_edit_distance():
     rng = random.Random(6)
     for _ in range(400):

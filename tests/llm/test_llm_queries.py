@@ -57,7 +57,7 @@ def test_stages(spark, tmp_path):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
             rows[k] = sorted((r.doc_id, r.text) for r in docs.collect())
     assert len(rows[0]) > 100
-    assert rows[1] == sorted(brute.line_groups(rows[0]).items())
+    assert rows[1] == sorted(brute.edit_groups(rows[0]).items())
     assert [d for d, _ in rows[2]] == sorted(d for d, (_, c) in brute.simhash_groups(rows[1]).items() if c == d)
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert rows[3] == [(d, t) for d, t in rows[2] if not any(overlaps(t, x) for _, x in items)]
