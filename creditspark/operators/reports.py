@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import require_columns
-from .ordered import exact_quantiles, number
+from .ordered import SKETCH_MARGIN, checkpointed, column_states, exact_quantiles, merged_states, number
 
 # ---- fixed values: KPI labels ----
 KPI_LABELS = ("Number of loans", "Portfolio EAD", "Portfolio 12m ECL", "Portfolio Lifetime ECL",
@@ -156,28 +156,30 @@ def scenario_totals(df: DataFrame, names) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], *, probs=(0.25, 0.5, 0.75), approx_accuracy: int | None = None,
-             buckets: int | None = None) -> DataFrame:
+             buckets: int | None = None, by: str | None = "booking_year", states: DataFrame | None = None) -> DataFrame:
     """A11 — count, mean, std (n−1), min, quartiles (linear), max per column; NULL/NaN ignored.
 
-    Output rows: ``variable, count, mean, std, min, p25, p50, p75, max``. One wide
-    aggregate gives the moments, without unfolding the columns to rows; quartiles
-    are exact (``ordered.exact_quantiles``) unless ``approx_accuracy`` asks for
-    ``percentile_approx`` in the same single pass.
+    Output rows: ``variable, count, mean, std, min, p25, p50, p75, max``. The first
+    pass makes mergeable states (``ordered.column_states``: moments and a KLL sketch for each
+    booking year); merged, they give the moments and bracket the quartiles, which a second pass makes
+    exact. With kept ``states`` only the second pass runs. ``approx_accuracy`` asks for
+    ``percentile_approx`` in place of that: one pass and no exact quartiles.
     """
     names = [f"p{int(round(p * 100))}" for p in probs]
-    values = df.select(*[number(c).alias(c) for c in cols])
-    aggs = []
-    for c in cols:
-        aggs += [F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
-                 F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-        if approx_accuracy:
-            aggs.append(F.percentile_approx(c, list(probs), approx_accuracy).alias(f"q_{c}"))
-    row = values.agg(*aggs).first()
-    counts = {c: row[f"n_{c}"] for c in cols}
-    quantiles = {c: row[f"q_{c}"] for c in cols} if approx_accuracy else \
-        exact_quantiles(df, cols, probs, counts=counts, buckets=buckets)
-    out = [(c, float(counts[c]), row[f"mean_{c}"], row[f"std_{c}"] if counts[c] > 1 else None, row[f"min_{c}"],
-            *quantiles[c], row[f"max_{c}"]) for c in cols if counts[c]]
+    if states is None:
+        states = checkpointed(column_states(df, cols, by if by in df.columns else None))
+    shares = {c: [p + s * SKETCH_MARGIN for p in probs for s in (-1, 1)] for c in cols}
+    state = merged_states(states, cols, shares)
+    counts = {c: state[c]["n"] for c in cols}
+    if approx_accuracy:
+        row = df.agg(*[F.percentile_approx(number(c), list(probs), approx_accuracy).alias(c) for c in cols]).first()
+        quantiles = {c: row[c] for c in cols}
+    else:
+        # a bracket that reaches the end takes it in: sketches keep the least and the largest value
+        near = {c: state[c]["at"] for c in cols if counts[c]}
+        quantiles = exact_quantiles(df, cols, probs, counts=counts, buckets=buckets, near=near)
+    out = [(c, float(counts[c]), state[c]["mean"], state[c]["std"], state[c]["min"], *quantiles[c], state[c]["max"])
+           for c in cols if counts[c]]
     return df.sparkSession.createDataFrame(
         out, "variable string, count double, mean double, std double, min double, "
              + ", ".join(f"{n} double" for n in names) + ", max double")

@@ -525,6 +525,22 @@ def oracle_sql() -> dict[str, str]:
     q["allowance_increase"] = sql(["pbs"], (
         f"SELECT {rnd(base, 'total_loss_allowance')}, {rnd(strs, 'stressed_loss_allowance')}, "
         f"{rnd(f'(({strs}) / ({base}) - 1.0) * 100.0', 'allowance_increase_pct')} FROM pbs"))
+    q["book_stage_ecl"] = q["stage_ecl_from_states"] = q["stage_ecl"]
+    q["allowance_from_states"] = q["allowance_increase"]
+    q["stage_migration"] = sql(["pbs", "cal"], (
+        "SELECT coalesce(CAST(f.stage AS VARCHAR), 'new') AS stage_from, coalesce(CAST(t.stage AS VARCHAR), 'closed') AS stage_to, "
+        f"count(*) AS loans, {rnd('coalesce(sum(f.allowance), 0.0)', 'allowance_from')}, "
+        f"{rnd('coalesce(sum(t.allowance), 0.0)', 'allowance_to')} FROM ("
+        "SELECT loan_id, stage_ifrs9 AS stage, CASE WHEN stage_ifrs9 = 1 THEN ecl_12m ELSE ecl_lifetime END AS allowance "
+        "FROM pbs, cal WHERE booking_month < date_trunc('year', last_month)) f FULL JOIN ("
+        "SELECT loan_id, stage_ifrs9_stressed AS stage, "
+        "CASE WHEN stage_ifrs9_stressed = 1 THEN ecl_12m_stressed ELSE ecl_lifetime END AS allowance "
+        "FROM pbs, cal WHERE booking_month + to_months(term_months) > last_month) t USING (loan_id) GROUP BY 1, 2"))
+    q["vintage_stats_selected"] = sql(["pa", "mac"], f"SELECT vintage_index, {rnd('avg(pd_12m)', 'avg_pd')}, "
+                             f"{rnd('avg(CAST(default_12m AS DOUBLE))', 'default_rate')}, "
+                             f"{rnd('avg(ecl_12m)', 'ecl_12m')}, {rnd('avg(booking_unemp)', 'booking_unemp')} "
+                             "FROM pa WHERE booking_year IN (SELECT year(month) FROM mac GROUP BY 1 "
+                             "HAVING avg(unemployment_rate) > (SELECT avg(unemployment_rate) FROM mac)) GROUP BY vintage_index")
     q["basel_standardised"] = sql(["std"], _STD_SELECT)
     q["basel_grade_band_join"] = sql(["std"], _STD_SELECT)
     q["basel_std_totals"] = sql(["std"], f"SELECT {rnd('coalesce(sum(rwa_standardised), 0.0)', 'portfolio_rwa')}, "

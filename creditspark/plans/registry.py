@@ -8,6 +8,7 @@ results compare across engines despite floating-sum order.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import with_norm_cdf, with_norm_ppf
-from ..operators import backtest, capital, catalog, reports, risk, stress
+from ..operators import backtest, capital, catalog, reports, risk, states, stress
+from ..session import ensure_checkpoint_dir
 from ..sources.loan_tape import reconciliation
 from ..sources.sinks import final_table
 from ..sources.specs import read_mapping_spec
 from ..sources.tables import read_table, table_path
+from . import materialize
 from .book import Book
 
 SPEC_DIR = Path(__file__).resolve().parent.parent / "specs"
@@ -40,7 +43,7 @@ MONEY = frozenset((
     "annual_income", "loan_amount", "ead", "ecl_12m", "ecl_lifetime", "ecl_12m_stressed", "realized_loss_12m",
     "reported_loss_allowance", "reported_loss_allowance_stressed", "total_loss_allowance", "stressed_loss_allowance",
     "base_ecl", "stressed_ecl", "uplift", "rwa_standardised", "capital_required_std", "portfolio_rwa",
-    "portfolio_capital", "order_value", "rwa_irb", "capital_required_irb", "total_rwa_irb", "total_capital_irb",
+    "portfolio_capital", "order_value", "allowance_from", "allowance_to", "rwa_irb", "capital_required_irb", "total_rwa_irb", "total_capital_irb",
 ))
 MONEY_PLACES, RATIO_PLACES = 4, 9
 RATE_KPI = reports.KPI_LABELS[4]
@@ -264,6 +267,72 @@ def _total_allowance(b: Book):
     return reports.total_allowance(b.part_b())
 
 
+# ---- the written book --------------------------------------------------------------------
+
+def stored(b: Book) -> tuple[str, str, str]:
+    """(path, earlier date, date) of the book written to the shared folder once: tables, states and two snapshots.
+
+    The later date is the last booking month with the stressed stages, less loans that have matured; the
+    earlier one is the start of its year with the base stages, less loans booked since.
+    """
+    def build():
+        path = f"{ensure_checkpoint_dir(b.spark).rstrip('/')}/book-{uuid.uuid4().hex}"
+        date, earlier = b.calendar.last_month, b.calendar.last_month.replace(month=1)
+        materialize.write_book(b, path, date.isoformat())
+        materialize.refresh_states(b.spark, path)
+        _, loans = materialize.read_book(b.spark, path, date.isoformat())
+        base = F.when(F.col("stage_ifrs9") == 1, F.col("ecl_12m")).otherwise(F.col("ecl_lifetime"))
+        stressed = F.when(F.col("stage_ifrs9_stressed") == 1, F.col("ecl_12m_stressed")).otherwise(F.col("ecl_lifetime"))
+        then = loans.where(F.col("booking_month") < F.lit(earlier))
+        now = loans.where(F.add_months("booking_month", F.col("term_months")) > F.lit(date))
+        materialize.write_snapshot(then.select("loan_id", F.col("stage_ifrs9").alias("stage"), base.alias("allowance")),
+                                   path, f"{earlier.isoformat()}-base")
+        materialize.write_snapshot(now.select("loan_id", F.col("stage_ifrs9_stressed").alias("stage"), stressed.alias("allowance")),
+                                   path, f"{date.isoformat()}-stressed")
+        return path, f"{earlier.isoformat()}-base", f"{date.isoformat()}-stressed"
+    return b._plan("stored", build)
+
+
+def _date(b: Book) -> str:
+    return b.calendar.last_month.isoformat()
+
+
+@query("book_stage_ecl")
+def _book_stage_ecl(b: Book):
+    """S5, A5, A6 — ECL by stage from the written book, read back."""
+    return reports.stage_ecl(materialize.read_book(b.spark, stored(b)[0], _date(b))[1])
+
+
+@query("stage_ecl_from_states")
+def _stage_ecl_from_states(b: Book):
+    """A5, A6 — ECL by stage from the written book's states."""
+    return states.stage_ecl_of(materialize.read_states(b.spark, stored(b)[0], _date(b)))
+
+
+@query("allowance_from_states")
+def _allowance_from_states(b: Book):
+    """A7, A10 — base and stressed allowance from the written book's states."""
+    return states.allowance_of(materialize.read_states(b.spark, stored(b)[0], _date(b)))
+
+
+@query("stage_migration")
+def _stage_migration(b: Book):
+    """A3, T4 — migration between the stages of two written dates, with new and closed loans."""
+    return materialize.read_migration(b.spark, *stored(b))
+
+
+@query("vintage_stats_selected")
+def _vintage_stats_selected(b: Book):
+    """W3, A2 — statistics of the vintages booked in years of above-average unemployment, from the written book."""
+    path = stored(b)[0]
+    years = b.macro().groupBy(F.year("month").alias("booking_year")).agg(F.avg("unemployment_rate").alias("u"))
+    table = f"{path}/unemployment-by-year"
+    level = b.macro().agg(F.avg("unemployment_rate")).first()[0]
+    years.write.mode("overwrite").parquet(table)
+    chosen = b.spark.read.parquet(table).where(F.col("u") > F.lit(level))
+    return reports.vintage_stats(materialize.read_vintages(b.spark, path, _date(b), chosen))
+
+
 # ---- stress ------------------------------------------------------------------------------
 
 @query("stress_additive")
