@@ -237,6 +237,22 @@ def test_keys_do_not_depend_on_the_other_lines():
     assert [x & 7 for x in alone[3]] == [*range(7)] * 2
 
 
+def test_run_counts_never_differ_by_more_than_the_edits():
+    from creditspark.llm.line_dedup import run_counts
+
+    rng = random.Random(4)
+    for _ in range(300):
+        a = "".join(rng.choice("abé x") for _ in range(rng.randint(0, 30)))
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at, kind = rng.randint(0, len(b)), rng.randrange(3)
+            b[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice("abé x")]
+        b = "".join(b)
+        counts = run_counts([a, b, "other"])
+        assert np.abs(counts[0] - counts[1]).sum() <= 6 * brute.levenshtein(a, b)
+        assert counts.sum(axis=1).tolist() == [len(a), len(b), 5]
+
+
 def test_lines_awkward_with_keys(awkward, awkward_rows, empty):
     cut = without_repeated_lines(awkward, keys=KEYS)
     got = [(r.row.doc_id, r.text, r.n_lines, r.n_removed) for r in cut.collect()]
