@@ -543,6 +543,9 @@ def oracle_sql() -> dict[str, str]:
                              "HAVING avg(unemployment_rate) > (SELECT avg(unemployment_rate) FROM mac)) GROUP BY vintage_index")
     q["basel_standardised"] = sql(["std"], _STD_SELECT)
     q["basel_grade_band_join"] = sql(["std"], _STD_SELECT)
+    q["income_band_lookup"] = sql(["tape"], (
+        f"SELECT loan_id, {rnd('loan_amount', 'loan_amount')}, band, {rnd('lo', 'band_start')} FROM tape ASOF LEFT JOIN ("
+        "SELECT round(c_acctbal * 12.0, 2) AS lo, min(c_custkey) AS band FROM customer GROUP BY 1) b ON tape.loan_amount >= b.lo"))
     q["basel_std_totals"] = sql(["std"], f"SELECT {rnd('coalesce(sum(rwa_standardised), 0.0)', 'portfolio_rwa')}, "
                                 f"{rnd('coalesce(sum(capital_required_std), 0.0)', 'portfolio_capital')} FROM std")
     q["norm_functions"] = sql(["z"], f"SELECT loan_id, {rnd('pd_12m', 'pd_12m')}, {rnd('z_pd', 'z_pd')}, "

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import with_norm_cdf, with_norm_ppf
 from ..operators import backtest, capital, catalog, reports, risk, states, stress
+from ..operators.joins import range_lookup
 from ..session import ensure_checkpoint_dir
 from ..sources.loan_tape import reconciliation
 from ..sources.sinks import final_table
@@ -395,6 +396,15 @@ def _basel_grade_band_join(b: Book):
     return capital.basel_standardised_by_bands(b.part_b(), capital.grade_bands(b.spark)).select(*_STD_COLS)
 
 
+@query("income_band_lookup")
+def _income_band_lookup(b: Book):
+    """J3 — the customers' incomes as a band table of any size: the band that each loan's amount lies in."""
+    bands = b.sources()[1].where("c_custkey IS NOT NULL").groupBy(F.round(F.col("c_acctbal") * 12.0, 2).alias("lo")).agg(
+        F.min("c_custkey").alias("band"))
+    loans = b.tape.select("loan_id", "loan_amount")
+    return range_lookup(loans, bands, "loan_amount").select("loan_id", "loan_amount", "band", F.col("lo").alias("band_start"))
+
+
 @query("basel_std_totals")
 def _basel_std_totals(b: Book):
     """A12 — standardised totals."""
@@ -497,11 +507,13 @@ def _direct_mapping(b: Book):
 
 @query("pk_check")
 def _pk_check(b: Book):
-    """C3 — primary-key checks of orders and customer per the spec."""
+    """C3 — primary-key checks of orders and customer per the spec (single integer keys by bitmaps)."""
     spec = read_mapping_spec(b.spark, MAPPING_SPEC)
     out = None
     for t in ("orders", "customer"):
         pk = catalog.primary_key_columns(spec, t, target=False)
-        r = catalog.pk_check(read_table(b.spark, b.sf_dir, t, pk), pk, t)
+        keys = read_table(b.spark, b.sf_dir, t, pk)
+        whole = len(pk) == 1 and keys.dtypes[0][1] in ("tinyint", "smallint", "int", "bigint")
+        r = catalog.pk_check_bitmap(keys, pk[0], t) if whole else catalog.pk_check(keys, pk, t)
         out = r if out is None else out.unionByName(r)
     return out
