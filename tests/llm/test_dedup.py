@@ -275,3 +275,20 @@ def test_edit_distance():
         a, b = ("".join(rng.choice("abé ") for _ in range(rng.randint(0, 40))) for _ in range(2))
         assert edit_distance(a, b) == brute.levenshtein(a, b)
     assert CLASHES
+
+
+def test_edit_distance_up_to_a_bound():
+    from creditspark.llm.line_dedup import similar
+
+    rng = random.Random(7)
+    for _ in range(600):
+        a = "".join(rng.choice("abé x") for _ in range(rng.randint(0, 50)))
+        b = list(a)
+        for _ in range(rng.randint(0, 1 + len(a) // 3)):
+            at, kind = rng.randint(0, len(b)), rng.randrange(3)
+            b[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice("abé x")]
+        b, most = "".join(b), rng.randint(0, 20)
+        d, longest = brute.levenshtein(a, b), max(len(a), len(b))
+        got = edit_distance(a, b, most)
+        assert got == d if d <= most else got > most
+        assert similar(a, b) == (10 * (longest - d) >= 8 * longest)
