@@ -8,7 +8,7 @@ they run as native expressions (no Python worker), exactly like the DataFrame he
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from . import gaussian as G
 from . import sqltext as X
@@ -54,3 +54,30 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     for name, (params, body) in defs.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS DOUBLE RETURN {body}")
     return list(defs)
+
+
+#: Columns of the scored book that the table functions read, from the temporary view ``cs_loans``.
+LOAN_COLUMNS = ("loan_id", "pd_12m", "pd_ratio", "default_12m", "dpd_30_plus", "dpd_90_plus", "ead", "lgd", "ecl_12m", "ecl_lifetime")
+
+
+def register_table_functions(spark: SparkSession, part_b: DataFrame, *, pd_ratio: float, abs_pd: float) -> list[str]:
+    """SQL table functions over a scored book: staging (T2) and the stage table (A5, A6) with thresholds as arguments.
+
+    ``SELECT * FROM cs_stage(pd_ratio => 2.0D)`` and ``SELECT * FROM cs_stage_ecl()``. Both are
+    SQL bodies that Catalyst inlines; ``pd_ratio`` and ``abs_pd`` are the defaults of their thresholds.
+    """
+    part_b.select(*LOAN_COLUMNS).createOrReplaceTempView("cs_loans")
+    params = (f"pd_ratio_from DOUBLE DEFAULT {X.num(pd_ratio)}, abs_pd_from DOUBLE DEFAULT {X.num(abs_pd)}, "
+              "backstop_30dpd BOOLEAN DEFAULT true, default_90dpd BOOLEAN DEFAULT true")
+    stage = ("CASE WHEN coalesce(default_12m = 1, false) OR default_90dpd AND coalesce(dpd_90_plus = 1, false) THEN 3 "
+             "WHEN coalesce(pd_ratio >= pd_ratio_from, false) OR coalesce(pd_12m >= abs_pd_from, false) "
+             "OR backstop_30dpd AND coalesce(dpd_30_plus = 1, false) THEN 2 ELSE 1 END")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION cs_stage({params}) RETURNS TABLE (loan_id BIGINT, stage_ifrs9 INT) "
+              f"RETURN SELECT loan_id, {stage} FROM cs_loans")
+    columns = ("stage_ifrs9 INT, loans BIGINT, ead DOUBLE, avg_pd DOUBLE, avg_lgd DOUBLE, ecl_12m DOUBLE, "
+               "ecl_lifetime DOUBLE, reported_loss_allowance DOUBLE")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION cs_stage_ecl({params}) RETURNS TABLE ({columns}) RETURN "
+              "SELECT stage, count(loan_id), sum(ead), avg(pd_12m), avg(lgd), sum(ecl_12m), sum(ecl_lifetime), "
+              "CASE WHEN stage = 1 THEN sum(ecl_12m) ELSE sum(ecl_lifetime) END "
+              f"FROM (SELECT *, {stage} AS stage FROM cs_loans) GROUP BY stage")
+    return ["cs_stage", "cs_stage_ecl"]

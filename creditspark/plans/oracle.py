@@ -490,6 +490,7 @@ def oracle_sql() -> dict[str, str]:
         f"{rnd('avg(lgd)', 'avg_lgd')}, {rnd('sum(ecl_12m)', 'ecl_12m')}, {rnd('sum(ecl_lifetime)', 'ecl_lifetime')}, "
         f"{rnd('CASE WHEN stage_ifrs9 = 1 THEN sum(ecl_12m) ELSE sum(ecl_lifetime) END', 'reported_loss_allowance')} "
         f"FROM pb WHERE stage_ifrs9 IS NOT NULL GROUP BY stage_ifrs9"))
+    q["sql_stage_sicr_params"], q["sql_stage_ecl"] = q["stage_sicr_params"], q["stage_ecl"]
     q["total_allowance"] = sql(["pb"], (
         f"SELECT {rnd('coalesce(sum(CASE WHEN stage_ifrs9 = 1 THEN ecl_12m ELSE ecl_lifetime END), 0.0)', 'total_loss_allowance')} "
         f"FROM pb WHERE stage_ifrs9 IS NOT NULL"))

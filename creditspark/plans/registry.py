@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import with_norm_cdf, with_norm_ppf
-from ..operators import backtest, capital, catalog, reports, risk, states, stress
+from ..functions.sqlfunctions import register_table_functions
+from ..operators import backtest, capital, catalog, reports, risk, staging, states, stress
 from ..operators.joins import range_lookup
 from ..session import ensure_checkpoint_dir
 from ..sources.loan_tape import reconciliation
@@ -36,7 +37,7 @@ ALT_SICR = {"pd_ratio_threshold": 2.0, "abs_pd_threshold": 0.3, "backstop_30dpd"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
-_BOOKS: dict[tuple, Book] = {}
+_BOOKS: dict[tuple, tuple[tuple, Book]] = {}
 
 
 #: Columns in money; every other double is a ratio, a rate or a score.
@@ -67,15 +68,26 @@ def present(df: DataFrame) -> DataFrame:
     return df.selectExpr(*map(shown, df.schema.fields))
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """When the folders of orders and customer were last changed: one look at each, however many files they hold."""
+    out = []
+    for name in ("orders", "customer"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out += [status.getModificationTime(), status.getLen()]
+    return tuple(out)
+
+
 def book(spark: SparkSession, sf_dir: str) -> Book:
-    """The folder's book, opened once an application: no query lists the folder's files again.
+    """The folder's book, opened once for as long as the application and the folder's stamp stay the same.
 
-    Files that come later are seen after :func:`refresh`.
+    No query lists the folder's files again. In stores that keep no folder times, files that come later are seen
+    after :func:`refresh`.
     """
-    k = (spark.sparkContext.applicationId, sf_dir)
-    if k not in _BOOKS:
-        _BOOKS[k] = Book.open(spark, sf_dir)
-    return _BOOKS[k]
+    k, stamp = (spark.sparkContext.applicationId, sf_dir), _stamp(spark, sf_dir)
+    if k not in _BOOKS or _BOOKS[k][0] != stamp:
+        _BOOKS[k] = (stamp, Book.open(spark, sf_dir))
+    return _BOOKS[k][1]
 
 
 def refresh(spark: SparkSession, sf_dir: str) -> Book:
@@ -262,6 +274,23 @@ def _stage_ecl(b: Book):
     return reports.stage_ecl(b.part_b())
 
 
+def _table_functions(b: Book) -> SparkSession:
+    register_table_functions(b.spark, b.part_b(), pd_ratio=staging.SICR_PD_RATIO, abs_pd=staging.SICR_ABS_PD)
+    return b.spark
+
+
+@query("sql_stage_sicr_params")
+def _sql_stage_sicr_params(b: Book):
+    """T2 as a SQL table function with its thresholds as arguments."""
+    return _table_functions(b).sql("SELECT * FROM cs_stage(pd_ratio_from => 2.0D, abs_pd_from => 0.3D, default_90dpd => false)")
+
+
+@query("sql_stage_ecl")
+def _sql_stage_ecl(b: Book):
+    """A5, A6 as a SQL table function."""
+    return _table_functions(b).sql("SELECT * FROM cs_stage_ecl()")
+
+
 @query("total_allowance")
 def _total_allowance(b: Book):
     """A7 — total loss allowance."""
