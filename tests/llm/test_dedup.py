@@ -253,6 +253,50 @@ def test_run_counts_never_differ_by_more_than_the_edits():
         assert counts.sum(axis=1).tolist() == [len(a), len(b), 5]
 
 
+def _pairs(rng, count):
+    """Texts and edited copies of them, from none to far too many edits, and their parts in another order."""
+    for k in range(count):
+        a = passage(rng, rng.randint(3, 60))
+        b = list(a)
+        for _ in range(rng.randint(0, 1 + len(a) // 3) if k % 3 else 2):
+            at, kind = rng.randint(0, len(b)), rng.randrange(3)
+            b[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice("abé x")]
+        cut = rng.randint(0, len(b)) if k % 4 == 0 else 0
+        yield a, "".join(b[cut:] + b[:cut])
+
+
+def test_bounds_of_the_distance_lose_no_similar_pair():
+    from creditspark.llm.line_dedup import allowed, at_most, runs_in_place, similar
+
+    rng, found, left = random.Random(5), 0, 0
+    for a, b in _pairs(rng, 600):
+        d, most = edit_distance(a, b), allowed(a, b)
+        assert at_most(a, b, most) >= d and at_most(a, a, most) == 0
+        stay = runs_in_place(a, [b, a], 0.8).tolist()
+        assert stay[1] and (stay[0] or d > most)
+        assert similar(a, b) == (d <= most)
+        found, left = found + (at_most(a, b, most) <= most), left + (not stay[0])
+    assert found > 150 and left > 50
+
+
+def test_links_of_a_meeting_are_stars(spark):
+    """However often near copies meet, their links are one star: as many as there are lines but one."""
+    import pandas as pd
+
+    from creditspark.llm.line_dedup import _verified
+
+    rng = random.Random(9)
+    w = passage(rng, 40).split()
+    texts = [" ".join([*w[:k], f"new{k}", *w[k + 1 :]]) for k in range(12)] + [passage(rng, 40)]
+    nodes = rng.sample(range(-(10**6), 10**6), 13)
+    rows = [(shard, nth, x, x, 0, 0, t) for shard, nth in ((1, 0), (2, 1), (3, 6)) for x, t in rng.sample(list(zip(nodes, texts, strict=True)), 13)]
+    frame_ = pd.DataFrame(rows, columns=["shard", "nth", "node", "component", "block", "fp", "normal"])
+    edges = pd.concat(list(_verified(iter([frame_]), 3, 0.8, KEYS)))
+    least = min(nodes[:12])
+    assert sorted(set(zip(edges.a, edges.b, strict=True))) == sorted((x, least) for x in nodes[:12] if x != least)
+    assert len(edges) == 3 * 11
+
+
 def test_lines_awkward_with_keys(awkward, awkward_rows, empty):
     cut = without_repeated_lines(awkward, keys=KEYS)
     got = [(r.row.doc_id, r.text, r.n_lines, r.n_removed) for r in cut.collect()]
