@@ -336,3 +336,57 @@ def test_edit_distance_up_to_a_bound():
         got = edit_distance(a, b, most)
         assert got == d if d <= most else got > most
         assert similar(a, b) == (10 * (longest - d) >= 8 * longest)
+
+
+def _edited(rng, count, longest):
+    """Lines of words and copies of them with edits anywhere or at one place, from none to more than are allowed."""
+    words = [passage(rng, 1) + rng.choice(("", "é", "x", "ly")) for _ in range(200)]
+    for k in range(count):
+        a = " ".join(rng.choice(words) for _ in range(rng.choice((0, 1, 4, 12, 40, 120))))[:longest]
+        b, place = list(a), rng.randint(0, len(a))
+        for _ in range(rng.randint(0, int(len(a) * rng.choice((0.05, 0.2, 0.24, 0.4))) + 1)):
+            at, kind = min(place, len(b)) if k % 3 == 0 else rng.randint(0, len(b)), rng.randrange(3)
+            b[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice("abé x")]
+        yield a, "".join(b)
+
+
+def test_distances_of_many_pairs_equal_single_ones():
+    from creditspark.llm.line_dedup import LONG, _all_similar, allowed, enough_in_place, run_bits, within
+
+    pairs = list(_edited(random.Random(6), 700, 600))
+    a, b = (np.array(x, object) for x in zip(*pairs, strict=True))
+    most = np.array([allowed(x, y) for x, y in pairs])
+    d = np.array([edit_distance(x, y) for x, y in pairs])
+    assert 200 < (d <= most).sum() < 650
+    assert within(list(a), list(b), most).tolist() == (d <= most).tolist()
+    assert _all_similar(a, b, 0.8).tolist() == (d <= most).tolist()
+    assert enough_in_place(a, b, most)[d <= most].all()
+    other = np.roll(b, 1)
+    wrong = np.array([allowed(x, y) for x, y in zip(a, other, strict=True)])
+    long_ = np.array([min(len(x), len(y)) > 60 for x, y in zip(a, other, strict=True)])
+    assert enough_in_place(a, other, wrong)[long_].mean() < 0.5  # what does not belong together is ruled out
+    bits = run_bits([*a, *b])
+    apart = np.bitwise_count(bits[: len(a)] ^ bits[len(a) :]).sum(axis=1, dtype=np.int64)
+    assert (apart <= 6 * d - np.abs([len(x) - len(y) for x, y in pairs])).all()
+    rng = random.Random(7)
+    text = passage(rng, LONG // 4)
+    far = np.array([text, text, "é" * 3], object), np.array([text[:-9] + "x", text[::-1], "é" * 3], object)
+    assert len(text) > LONG and _all_similar(*far, 0.8).tolist() == [True, False, True]
+
+
+def test_false_meetings_need_few_distances(monkeypatch):
+    """Long lines that meet without being similar are ruled out together, before any single edit distance."""
+    import pandas as pd
+
+    from creditspark.llm import line_dedup
+
+    rng, called = random.Random(10), []
+    plain_distance = line_dedup.edit_distance
+    monkeypatch.setattr(line_dedup, "edit_distance", lambda *x: called.append(x) or plain_distance(*x))
+    texts = [passage(rng, 60) for _ in range(150)]
+    texts += [t.replace(t.split()[5], "other") for t in texts[:20]]
+    rows = [(1, 2, k, k, 0, 0, t) for k, t in enumerate(texts)]
+    frame_ = pd.DataFrame(rows, columns=["shard", "nth", "node", "component", "block", "fp", "normal"])
+    edges = pd.concat(list(line_dedup._verified(iter([frame_]), 3, 0.8, KEYS)))
+    assert sorted(zip(edges.a, edges.b, strict=True)) == [(150 + k, k) for k in range(20)]
+    assert len(called) < 500  # of 14,000 pairs
