@@ -18,7 +18,7 @@ from .text import Words
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 #: Pieces in each of the memo's two generations.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 _PER_CALL = 2_000
 
 

@@ -390,3 +390,16 @@ def test_false_meetings_need_few_distances(monkeypatch):
     edges = pd.concat(list(line_dedup._verified(iter([frame_]), 3, 0.8, KEYS)))
     assert sorted(zip(edges.a, edges.b, strict=True)) == [(150 + k, k) for k in range(20)]
     assert len(called) < 500  # of 14,000 pairs
+
+
+def test_memo_of_pieces_is_bounded():
+    """A worker keeps the ids of about two generations of pieces, and gives the same ids after dropping some."""
+    from creditspark.llm import tokens
+
+    coder = tokens.WordCoder(tokens.vocabulary_path(None))
+    assert 2 * tokens.MEMO_WORDS <= 400_000  # at about 0.6 KB each
+    rng = random.Random(12)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(200)).encode() for _ in range(20)]
+    first = coder.encode_all(texts)
+    coder.known, coder.older = {}, {}
+    assert coder.encode_all(texts) == first
