@@ -403,3 +403,32 @@ def test_memo_of_pieces_is_bounded():
     first = coder.encode_all(texts)
     coder.known, coder.older = {}, {}
     assert coder.encode_all(texts) == first
+
+
+def test_counts_rule_pairs_out_and_lose_none(monkeypatch):
+    """Counts of characters and runs stay within what edits can change; lines of the same runs in other numbers are not compared."""
+    import pandas as pd
+
+    from creditspark.llm import line_dedup
+    from creditspark.llm.line_dedup import _differ, _profiles, allowed, edit_distance, within
+
+    rng = random.Random(21)
+    a = [passage(rng, rng.randint(1, 60)) + rng.choice(["", "é", "￾￿", "\U0001f600" * 3, "e" * 400]) for _ in range(80)]
+    b = []
+    for x in a:
+        for _ in range(rng.randint(0, len(x) // 4)):
+            i = rng.randrange(len(x) + 1)
+            x = x[:i] + rng.choice(["", "q", "\U0001f600"]) + x[i + rng.randint(0, 1) :]
+        b.append(x or "q")
+    d = np.array([edit_distance(x, y) for x, y in zip(a, b, strict=True)])
+    apart = np.array([abs(len(x) - len(y)) for x, y in zip(a, b, strict=True)])
+    _, runs, marks = _profiles(a + b)
+    i = np.arange(80)
+    assert (_differ(marks, i, i + 80) <= 2 * d - apart).all() and (_differ(runs, i, i + 80) <= 6 * d - apart).all()
+    most = np.array([allowed(x, y) for x, y in zip(a, b, strict=True)])
+    assert within(a, b, most).tolist() == (d <= most).tolist()
+    compared = []
+    monkeypatch.setattr(line_dedup, "_all_similar", lambda x, y, least: compared.append(len(x)) or np.zeros(len(x), bool))
+    texts = [("ab " * 60 + "cd " * 6 + "ab cd").strip(), ("cd " * 60 + "ab " * 6 + "cd ab").strip()]
+    frame_ = pd.DataFrame([(1, 0, k, k, 0, 0, t) for k, t in enumerate(texts)], columns=["shard", "nth", "node", "component", "block", "fp", "normal"])
+    assert pd.concat(list(line_dedup._verified(iter([frame_]), 3, 0.8, KEYS))).empty and not compared
