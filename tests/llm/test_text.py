@@ -85,3 +85,16 @@ def test_word_coder_equals_the_library(spark):
     got = [x for i, j in chunks(raw, 5000) for x in code.encode_all(raw[i:j])]
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == code.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_word_coder_asks_for_many_pieces_at_once(monkeypatch):
+    from creditspark.llm.tokens import WordCoder, vocabulary_path
+
+    code, asked = WordCoder(vocabulary_path(None)), []
+    monkeypatch.setattr(code, "_ask", lambda text: asked.append(text))
+    texts = ["CafÉ, été. ß&&& ñ×ñ ¡é! <é>÷ ÀÖØÞßöøÿ.ª µº", "don't 555-8990 l'été's 3é.é4 été́. 中文é. ·à« Ã\xadà\xa0é", ""]
+    got = code.encode_all(as_bytes(texts))
+    assert not asked  # numbers and accented letters beside marks are not asked for one by one
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == code.tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert b"\xc3\xa9t\xc3\xa9" in code.known and b"\xc3\xa9t\xc3\xa9." not in code.known
