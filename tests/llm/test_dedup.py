@@ -432,3 +432,45 @@ def test_counts_rule_pairs_out_and_lose_none(monkeypatch):
     texts = [("ab " * 60 + "cd " * 6 + "ab cd").strip(), ("cd " * 60 + "ab " * 6 + "cd ab").strip()]
     frame_ = pd.DataFrame([(1, 0, k, k, 0, 0, t) for k, t in enumerate(texts)], columns=["shard", "nth", "node", "component", "block", "fp", "normal"])
     assert pd.concat(list(line_dedup._verified(iter([frame_]), 3, 0.8, KEYS))).empty and not compared
+
+
+def test_false_meetings_of_like_lines_are_compared_together(monkeypatch):
+    """Long lines of the same few syllables, which counts of runs do not tell apart, need no work pair by pair."""
+    import pandas as pd
+
+    from creditspark.llm import line_dedup
+
+    rng, called = random.Random(31), []
+    bound = line_dedup.at_most
+    monkeypatch.setattr(line_dedup, "at_most", lambda *x: called.append(x) or bound(*x))
+    words = ["".join(rng.choices(["on", "er", "th", "ti", "es", "in", "an", "re"], k=rng.randint(1, 3))) for _ in range(60)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(90, 110))) for _ in range(120)]
+    texts += [t.replace(t.split()[7], "other", 1) for t in texts[:15]]
+    frame_ = pd.DataFrame([(1, 2, k, k, 0, 0, t) for k, t in enumerate(texts)], columns=["shard", "nth", "node", "component", "block", "fp", "normal"])
+    edges = pd.concat(list(line_dedup._verified(iter([frame_]), 3, 0.8, KEYS)))
+    assert sorted(zip(edges.a, edges.b, strict=True)) == [(120 + k, k) for k in range(15)]
+    assert len(called) < 200  # of some thousand pairs that counts leave
+
+
+def test_bands_of_any_width_and_alphabet(monkeypatch):
+    """Bands of one and of several words, a second pass, more letters than are told apart, and bounds other than a fifth."""
+    from creditspark.llm import line_dedup
+
+    rng = random.Random(32)
+    for letters in ("ab", "abcdefgh é", "".join(map(chr, range(0x4E00, 0x4E00 + 300))), "a\U0001f600￾￿"):
+        pairs = []
+        for _ in range(150):
+            a = rng.choices(letters, k=max(1, rng.choice([1, 40, 64, 300, 330, 700]) + rng.randint(-2, 2)))
+            b = list(a)
+            for _ in range(rng.randint(0, int(len(a) * rng.choice([0.05, 0.2, 0.3]))) + 1):
+                at, kind = rng.randint(0, len(b)), rng.randrange(3)
+                b[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice(letters)]
+            pairs.append(rng.sample(["".join(a), "".join(b)], 2))
+        a, b = (list(x) for x in zip(*pairs, strict=True))
+        most = np.array([line_dedup.allowed(x, y, rng.choice([0.8, 0.9, 0.5])) for x, y in pairs])
+        want = [edit_distance(x, y) <= d for x, y, d in zip(a, b, most, strict=True)]
+        assert line_dedup.within(a, b, most).tolist() == want
+        with monkeypatch.context() as small:
+            for name, value in (("PAIRS", 32), ("FEW_PAIRS", 8), ("ALONE", 1), ("LOOK", 8)):
+                small.setattr(line_dedup, name, value)
+            assert line_dedup.within(a, b, most).tolist() == want
